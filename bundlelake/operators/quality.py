@@ -28,6 +28,7 @@ from bundlelake.schemas import (
     MIN_QUALITY_SCORE,
     OBSERVATION_STATUSES,
     QUALITY_WEIGHTS,
+    RESOURCE_TYPES,
 )
 
 UNIQUENESS_RULE = "resource_id_uniqueness"
@@ -270,13 +271,15 @@ def gate(resources: DataFrame, scored: DataFrame, mode: str = "warn") -> DataFra
     """Mark resources by the score of their type.
 
     ``warn`` lets everything pass; ``quarantine`` holds back the types below
-    the threshold. The scores hold one row per supported type, so they are
-    broadcast.
+    the threshold. Only the five supported types are looked up, which bounds
+    the broadcast at five rows.
     """
     if mode not in ("warn", "quarantine"):
         raise ValueError(f"unknown gate mode {mode!r}")
     verdict = F.col("passed_threshold") | F.lit(mode == "warn")
-    verdicts = scored.select("resource_type", verdict.alias("released"))
+    verdicts = scored.filter(F.col("resource_type").isin(*RESOURCE_TYPES)).select(
+        "resource_type", verdict.alias("released")
+    )
     return resources.join(F.broadcast(verdicts), "resource_type", "left").withColumn(
         "released", F.coalesce("released", F.lit(True))
     )

@@ -284,8 +284,13 @@ def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'recordedDate', date_format(l_shipdate + make_dt_interval(1), 'yyyy-MM-dd')",
     )
     rows = rows.withColumn("resource", F.expr(body))
+    # Copies of a diagnosis arrive at distinct moments unless they are identical.
+    arrival = (
+        f"concat(date_format(l_shipdate + make_dt_interval(0, 0, 0, l_partkey % 86400), '{_ISO}'), "
+        "'.', lpad((l_suppkey % 10000) * 100 + ascii(l_returnflag), 6, '0'), '+00:00')"
+    )
     return _emit(rows, "Condition", "concat('condition-', k)", "lineitem",
-                 "concat('bundle-condition-', k)", _stamp("l_shipdate"))
+                 "concat('bundle-condition-', k)", arrival)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
