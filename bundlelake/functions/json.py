@@ -1,61 +1,53 @@
-"""Type-aware tests on VARIANT columns."""
-
-from __future__ import annotations
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-_ZERO = r"^-?0+(\.0*)?([eE][+-]?\d+)?$"
-_NUMERIC_OR_BOOLEAN = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"
+"""SQL snippets for type-aware tests on VARIANT values.
 
+Each helper takes and returns SQL text, so a whole rule set reaches Spark as a
+handful of expressions.
+"""
 
-def text_of(value: Column, path: str = "$") -> Column:
-    """Scalar text at ``path``; objects and arrays come back as JSON text."""
-    return F.try_variant_get(value, path, "string")
-
+from __future__ import annotations
 
-def part_of(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, path, "variant")
+_ZERO = r"r'^-?0+(\.0*)?([eE][+-]?\d+)?$'"
+_NUMERIC_OR_BOOLEAN = "r'^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)'"
 
 
-def json_type(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def is_object(value: Column) -> Column:
-    return F.coalesce(json_type(value).startswith("OBJECT"), F.lit(False))
+def text_at(value: str, path: str = "$") -> str:
+    """Scalar text at a path; objects and arrays come back as JSON text."""
+    return f"try_variant_get({value}, '{path}', 'string')"
 
 
-def is_array(value: Column) -> Column:
-    return F.coalesce(json_type(value).startswith("ARRAY"), F.lit(False))
+def _known_type(value: str, test: str) -> str:
+    return f"coalesce(schema_of_variant({value}) {test}, false)"
 
 
-def is_string(value: Column) -> Column:
-    return F.coalesce(json_type(value) == "STRING", F.lit(False))
+def is_array(value: str) -> str:
+    return _known_type(value, "LIKE 'ARRAY%'")
 
 
-def is_numeric(value: Column) -> Column:
+def is_numeric(value: str) -> str:
     """JSON numbers; booleans count as numbers, as they do in the rules."""
-    return F.coalesce(json_type(value).rlike(_NUMERIC_OR_BOOLEAN), F.lit(False))
+    return _known_type(value, f"RLIKE {_NUMERIC_OR_BOOLEAN}")
+
 
+def is_blank(value: str, text: str) -> str:
+    """Missing, null, ``""``, ``[]``, ``{}``, ``0`` or ``false``.
 
-def is_blank(value: Column) -> Column:
-    """Missing, null, ``""``, ``[]``, ``{}``, ``0`` or ``false``."""
-    text = text_of(value)
-    # The strings "0", "[]" ... are not blank: only then is the type looked up.
-    looks_blank = text.isin("[]", "{}", "false") | text.rlike(_ZERO)
+    ``text`` is the value as text. Strings that only look blank, such as
+    ``"0"``, are not: just for those texts the JSON type is looked up.
+    """
+    looks_blank = f"({text} IN ('[]', '{{}}', 'false') OR {text} RLIKE {_ZERO})"
     return (
-        F.when(text.isNull() | (text == ""), True)
-        .when(looks_blank, ~is_string(value))
-        .otherwise(False)
+        f"CASE WHEN {text} IS NULL OR {text} = '' THEN true "
+        f"WHEN {looks_blank} THEN schema_of_variant({value}) <> 'STRING' ELSE false END"
     )
 
 
-def is_absent(value: Column) -> Column:
+def is_absent(value: str, text: str) -> str:
     """Missing, null, ``""`` or ``[]``; an empty object counts as present."""
-    text = text_of(value)
     return (
-        F.when(text.isNull() | (text == ""), True)
-        .when(text == "[]", ~is_string(value))
-        .otherwise(False)
+        f"CASE WHEN {text} IS NULL OR {text} = '' THEN true "
+        f"WHEN {text} = '[]' THEN schema_of_variant({value}) <> 'STRING' ELSE false END"
     )

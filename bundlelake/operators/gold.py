@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from bundlelake.functions.dates import DATE, DATE_TIME
 from bundlelake.functions.fhir import starts_with_any
 from bundlelake.functions.rounding import exact_sum, half_even
-from bundlelake.schemas import ACTIVE_CLINICAL_STATUSES, CHRONIC_PREFIXES
+from bundlelake.schemas import ACTIVE_CLINICAL_STATUSES, CHRONIC_PREFIXES, GOLD
 
 
 def is_chronic(code: Column) -> Column:
@@ -208,20 +208,25 @@ def monthly_utilization_trends(encounters: DataFrame, created_at: str) -> DataFr
     )
 
 
-def build_all(silver: dict[str, DataFrame], created_at: str) -> dict[str, DataFrame]:
-    """The four summaries, all carrying the same creation stamp."""
-    patients = silver["patient"]
-    return {
-        "patient_encounter_summary": patient_encounter_summary(
-            patients, silver["encounter"], created_at
+def build(name: str, silver: dict[str, DataFrame], created_at: str) -> DataFrame:
+    """One summary by its table name."""
+    makers = {
+        "patient_encounter_summary": lambda: patient_encounter_summary(
+            silver["patient"], silver["encounter"], created_at
         ),
-        "patient_condition_profile": patient_condition_profile(
-            patients, silver["condition"], created_at
+        "patient_condition_profile": lambda: patient_condition_profile(
+            silver["patient"], silver["condition"], created_at
         ),
-        "claims_financial_summary": claims_financial_summary(
-            patients, silver["claim"], created_at
+        "claims_financial_summary": lambda: claims_financial_summary(
+            silver["patient"], silver["claim"], created_at
         ),
-        "monthly_utilization_trends": monthly_utilization_trends(
+        "monthly_utilization_trends": lambda: monthly_utilization_trends(
             silver["encounter"], created_at
         ),
     }
+    return makers[name]()
+
+
+def build_all(silver: dict[str, DataFrame], created_at: str) -> dict[str, DataFrame]:
+    """The four summaries, all carrying the same creation stamp."""
+    return {name: build(name, silver, created_at) for name in GOLD}

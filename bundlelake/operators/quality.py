@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bundlelake.functions.json import is_absent, is_blank
 from bundlelake.functions.rounding import half_even
-from bundlelake.operators.validation import (
-    clinical_code,
-    field,
-    field_text,
-    negative_total,
-    onset_after_abatement,
-    parse_for_rules,
-    quantity_not_numeric,
-    starts_after_end,
+from bundlelake.operators.facts import (
+    BILLED_REVERSED,
+    NEGATIVE_TOTAL,
+    ONSET_AFTER_ABATEMENT,
+    PERIOD_REVERSED,
+    VALUE_NOT_NUMERIC,
+    listed,
+    with_facts,
 )
 from bundlelake.schemas import (
     CLAIM_STATUSES,
@@ -51,101 +49,86 @@ COMPLETENESS = {
 
 @dataclass(frozen=True)
 class QualityRule:
+    """A rule of one type: SQL for "fails" and for its detail text, over the facts."""
+
     name: str
     dimension: str
     resource_type: str
-    fails: Column
-    detail: Column
+    fails: str
+    detail: str
+
+    def applies_and_fails(self) -> str:
+        return f"(resource_type = '{self.resource_type}' AND {self.fails})"
 
 
-def _completeness_rule(name: str) -> QualityRule:
+def _completeness(name: str) -> QualityRule:
     resource_type, fields = COMPLETENESS[name]
-    first_absent = F.coalesce(
-        *[F.when(is_absent(field(f)), F.lit(f)) for f in fields]
-    )
+    first_absent = "CASE " + " ".join(f"WHEN absent_{f} THEN '{f}'" for f in fields) + " END"
     return QualityRule(
         name, "completeness", resource_type,
-        first_absent.isNotNull(),
-        F.format_string("field '%s' missing or empty", first_absent),
+        "(" + " OR ".join(f"absent_{f}" for f in fields) + ")",
+        f"concat('field \\'', {first_absent}, '\\' missing or empty')",
     )
 
 
-def _not_listed(text: Column, codes: tuple[str, ...]) -> Column:
-    """Present, even if empty, and not one of the codes."""
-    return F.coalesce(~text.isin(*codes), F.lit(False))
-
-
-def rules() -> list[QualityRule]:
-    """All rules but uniqueness, which needs counts across rows."""
-    gender, status = field_text("gender"), field_text("status")
-    encounter_class = field_text("class", "$.code")
-    start, end = field_text("period", "$.start"), field_text("period", "$.end")
-
-    def conformity(name: str, kind: str, fails: Column, text: str, value: Column):
-        return QualityRule(name, "conformity", kind, fails, F.format_string(text, value))
-
-    return [
-        *[_completeness_rule(name) for name in COMPLETENESS],
-        conformity("patient_gender_codes", "Patient", _not_listed(gender, GENDERS),
-                   "invalid gender='%s'", gender),
-        conformity("encounter_status_codes", "Encounter",
-                   _not_listed(status, ENCOUNTER_STATUSES), "invalid status='%s'", status),
-        conformity("encounter_class_codes", "Encounter",
-                   _not_listed(encounter_class, ENCOUNTER_CLASSES),
-                   "unknown class code='%s'", encounter_class),
-        conformity("obs_status_codes", "Observation",
-                   _not_listed(status, OBSERVATION_STATUSES), "invalid status='%s'", status),
-        conformity("obs_value_numeric", "Observation", quantity_not_numeric(),
-                   "non-numeric valueQuantity.value='%s'",
-                   field_text("valueQuantity", "$.value")),
-        conformity("claim_status_codes", "Claim", _not_listed(status, CLAIM_STATUSES),
-                   "invalid status='%s'", status),
-        conformity("condition_clinical_status_codes", "Condition",
-                   _not_listed(clinical_code(), CLINICAL_STATUSES),
-                   "invalid clinicalStatus.code='%s'", clinical_code()),
-        QualityRule("encounter_period_logic", "consistency", "Encounter",
-                    starts_after_end("period"),
-                    F.format_string("start=%s > end=%s", start, end)),
-        QualityRule("condition_date_logic", "consistency", "Condition",
-                    onset_after_abatement(),
-                    F.format_string("onset=%s after abatement=%s",
-                                    field_text("onsetDateTime"),
-                                    field_text("abatementDateTime"))),
-        QualityRule("claim_period_logic", "consistency", "Claim",
-                    starts_after_end("billablePeriod"),
-                    F.lit("billablePeriod start > end")),
-        QualityRule("claim_total_positive", "consistency", "Claim", negative_total(),
-                    F.format_string("negative claim total=%s", field_text("total", "$.value"))),
-    ]
+def _conformity(name: str, resource_type: str, fails: str, wording: str,
+                value: str) -> QualityRule:
+    return QualityRule(name, "conformity", resource_type, fails,
+                       f"concat('{wording}=\\'', {value}, '\\'')")
+
+
+def _listing(name: str, resource_type: str, value: str, codes: tuple[str, ...],
+             wording: str) -> QualityRule:
+    """Fails for values present, even if empty, that are not among the codes."""
+    fails = f"coalesce(NOT {listed(value, codes)}, false)"
+    return _conformity(name, resource_type, fails, wording, value)
+
+
+# All rules but uniqueness, which needs counts across rows.
+RULES: tuple[QualityRule, ...] = (
+    *[_completeness(name) for name in COMPLETENESS],
+    _listing("patient_gender_codes", "Patient", "gender", GENDERS, "invalid gender"),
+    _listing("encounter_status_codes", "Encounter", "status", ENCOUNTER_STATUSES,
+             "invalid status"),
+    _listing("encounter_class_codes", "Encounter", "class_code", ENCOUNTER_CLASSES,
+             "unknown class code"),
+    _listing("obs_status_codes", "Observation", "status", OBSERVATION_STATUSES,
+             "invalid status"),
+    _conformity("obs_value_numeric", "Observation", VALUE_NOT_NUMERIC,
+                "non-numeric valueQuantity.value", "value_text"),
+    _listing("claim_status_codes", "Claim", "status", CLAIM_STATUSES, "invalid status"),
+    _listing("condition_clinical_status_codes", "Condition", "clinical_code",
+             CLINICAL_STATUSES, "invalid clinicalStatus.code"),
+    QualityRule("encounter_period_logic", "consistency", "Encounter", PERIOD_REVERSED,
+                "concat('start=', period_start, ' > end=', period_end)"),
+    QualityRule("condition_date_logic", "consistency", "Condition", ONSET_AFTER_ABATEMENT,
+                "concat('onset=', onsetDateTime, ' after abatement=', abatementDateTime)"),
+    QualityRule("claim_period_logic", "consistency", "Claim", BILLED_REVERSED,
+                "'billablePeriod start > end'"),
+    QualityRule("claim_total_positive", "consistency", "Claim", NEGATIVE_TOTAL,
+                "concat('negative claim total=', total_text)"),
+)
 
 
-def _own(rule: QualityRule) -> Column:
-    return (F.col("resource_type") == rule.resource_type) & rule.fails
+def _per_rule(per_type: DataFrame, kept: list[QualityRule], uniqueness: bool) -> DataFrame:
+    """Turn one wide row per type into one row per rule."""
 
+    def outcome(name: str, dimension: str, failed: str) -> str:
+        return (
+            f"named_struct('rule_name', '{name}', 'dimension', '{dimension}', "
+            f"'failed', {failed})"
+        )
 
-def _finish(per_type: DataFrame, kept: list[QualityRule], uniqueness: bool) -> DataFrame:
-    """Turn one wide row per type into one row per rule."""
     outcomes = [
-        F.when(
-            F.col("resource_type") == rule.resource_type,
-            F.struct(
-                F.lit(rule.name).alias("rule_name"),
-                F.lit(rule.dimension).alias("dimension"),
-                F.col(rule.name).alias("failed"),
-            ),
-        )
+        f"CASE WHEN resource_type = '{rule.resource_type}' "
+        f"THEN {outcome(rule.name, rule.dimension, rule.name)} END"
         for rule in kept
     ]
     if uniqueness:
-        outcomes.append(
-            F.struct(
-                F.lit(UNIQUENESS_RULE).alias("rule_name"),
-                F.lit("uniqueness").alias("dimension"),
-                (F.col("with_id") - F.col("distinct_ids")).alias("failed"),
-            )
-        )
-    return per_type.select(
-        "resource_type", "total", F.inline(F.array_compact(F.array(*outcomes)))
+        outcomes.append(outcome(UNIQUENESS_RULE, "uniqueness", "with_id - distinct_ids"))
+    rate = (F.col("total") - F.col("failed")) / F.col("total")
+    return per_type.selectExpr(
+        "resource_type", "total", f"inline(array_compact(array({', '.join(outcomes)})))"
     ).select(
         "resource_type",
         "rule_name",
@@ -153,8 +136,8 @@ def _finish(per_type: DataFrame, kept: list[QualityRule], uniqueness: bool) -> D
         (F.col("total") - F.col("failed")).alias("passed"),
         "failed",
         "total",
-        half_even((F.col("total") - F.col("failed")) / F.col("total"), 4).alias("pass_rate"),
-        ((F.col("total") - F.col("failed")) / F.col("total")).alias("exact_rate"),
+        half_even(rate, 4).alias("pass_rate"),
+        rate.alias("exact_rate"),
     )
 
 
@@ -165,9 +148,8 @@ def rule_outcomes(resources: DataFrame, *dimensions: str) -> DataFrame:
     (type, id), so neither a large type nor a much repeated id meets one task.
     """
     wanted = dimensions or tuple(QUALITY_WEIGHTS)
-    kept = [rule for rule in rules() if rule.dimension in wanted]
+    kept = [rule for rule in RULES if rule.dimension in wanted]
     uniqueness = "uniqueness" in wanted
-    identifier = F.when(~is_blank(field("id")), field_text("id"))
     measures = [F.count("*").alias("total")]
     measures += [F.count_if(F.col(rule.name)).alias(rule.name) for rule in kept]
     if uniqueness:
@@ -175,12 +157,12 @@ def rule_outcomes(resources: DataFrame, *dimensions: str) -> DataFrame:
             F.count("identifier").alias("with_id"),
             F.count_distinct("identifier").alias("distinct_ids"),
         ]
-    checked = parse_for_rules(resources).select(
+    checked = with_facts(resources).selectExpr(
         "resource_type",
-        identifier.alias("identifier"),
-        *[_own(rule).alias(rule.name) for rule in kept],
+        "CASE WHEN NOT blank_id THEN id END AS identifier",
+        *[f"{rule.applies_and_fails()} AS {rule.name}" for rule in kept],
     )
-    return _finish(checked.groupBy("resource_type").agg(*measures), kept, uniqueness)
+    return _per_rule(checked.groupBy("resource_type").agg(*measures), kept, uniqueness)
 
 
 def rule_details(resources: DataFrame, limit: int = DETAIL_LINES) -> DataFrame:
@@ -188,32 +170,23 @@ def rule_details(resources: DataFrame, limit: int = DETAIL_LINES) -> DataFrame:
 
     The row number limit is applied inside each map task before the shuffle.
     """
-    identifier = F.coalesce(field_text("id"), F.lit("?"))
-    failing = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    _own(rule),
-                    F.struct(
-                        F.lit(rule.name).alias("rule_name"),
-                        F.concat(F.lit("id="), identifier, F.lit(": "), rule.detail).alias(
-                            "detail"
-                        ),
-                    ),
-                )
-                for rule in rules()
-            ]
-        )
-    )
-    parsed = parse_for_rules(resources)
-    lines = parsed.select(
-        "resource_type", identifier.alias("resource_id"), F.inline(failing)
+    failing = ", ".join(
+        f"CASE WHEN {rule.applies_and_fails()} THEN named_struct('rule_name', '{rule.name}', "
+        f"'detail', concat('id=', coalesce(id, '?'), ': ', {rule.detail})) END"
+        for rule in RULES
     )
+    facts = with_facts(resources)
+    lines = facts.selectExpr(
+        "resource_type",
+        "coalesce(id, '?') AS resource_id",
+        f"inline_outer(array_compact(array({failing})))",
+    ).filter(F.col("rule_name").isNotNull())
     repeats = (
-        parsed.filter(~is_blank(field("id")))
-        .groupBy("resource_type", field_text("id").alias("resource_id"))
+        resources.groupBy(
+            "resource_type", F.get_json_object("resource", "$.id").alias("resource_id")
+        )
         .agg(F.count("*").alias("n"))
-        .filter("n > 1")
+        .filter("n > 1 AND resource_id <> ''")
         .select(
             "resource_type",
             "resource_id",

@@ -19,12 +19,13 @@ def with_percent_rank(
     ties = rows.groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
     fractions = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     cuts = ties.agg(F.percentile_approx("v", fractions, F.lit(10_000))).scalar()
-    bucketed = ties.withColumn(
+    bucketed = ties.withColumn("cuts", cuts).withColumn(
         "bucket",
         F.when(F.col("v").isNull(), F.lit(buckets)).otherwise(
-            F.coalesce(F.size(F.filter(cuts, lambda cut: cut < F.col("v"))), F.lit(0))
+            F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col("v"))), F.lit(0))
         ),
     )
+    bucketed = bucketed.drop("cuts")
     # At most buckets + 1 rows from here on: a window over all of them and a
     # broadcast are both bounded by that constant.
     per_bucket = bucketed.groupBy("bucket").agg(F.sum("n").alias("bucket_n"))

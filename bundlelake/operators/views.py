@@ -251,10 +251,9 @@ def chronic_disease_burden(gold: Tables) -> DataFrame:
     profile = gold["patient_condition_profile"]
     population = profile.agg(F.count_distinct("patient_id")).scalar()
     codes = profile.filter(F.col("active_icd_codes") != "").select(
-        "patient_id",
-        F.trim(F.explode(F.split("active_icd_codes", "[|]"))).alias("icd_code"),
+        "patient_id", F.explode(F.split("active_icd_codes", "[|]")).alias("code")
     )
-    per_code = codes.groupBy("icd_code").agg(
+    per_code = codes.groupBy(F.trim("code").alias("icd_code")).agg(
         F.count_distinct("patient_id").alias("patient_count")
     )
     occurrences = F.sum("patient_count")

@@ -103,7 +103,7 @@ def run_full_load(
     counts = {
         "ingest": _count(resources),
         "validate": _count(validated),
-        "bronze": _total(bronze),
+        "bronze": _count(bronze[0].filter(F.col("pipeline_run_id") == run_id)),
         "silver": _total(silver),
         "gold": _total(gold),
         "warehouse": _total(bronze + silver + gold),

@@ -90,5 +90,9 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataF
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
         .load(path)
-        .select("path", F.col("modificationTime").alias("modified_at"), "length")
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_modification_time").alias("modified_at"),
+            F.col("_metadata.file_size").alias("length"),
+        )
     )
