@@ -38,7 +38,8 @@ def is_blank(value: str, text: str) -> str:
     ``text`` is the value as text. Strings that only look blank, such as
     ``"0"``, are not: just for those texts the JSON type is looked up.
     """
-    looks_blank = f"({text} IN ('[]', '{{}}', 'false') OR {text} RLIKE {_ZERO})"
+    zero = f"(substr({text}, 1, 1) IN ('0', '-') AND {text} RLIKE {_ZERO})"
+    looks_blank = f"({text} IN ('[]', '{{}}', 'false') OR {zero})"
     return (
         f"CASE WHEN {text} IS NULL OR {text} = '' THEN true "
         f"WHEN {looks_blank} THEN schema_of_variant({value}) <> 'STRING' ELSE false END"

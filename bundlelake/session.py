@@ -12,11 +12,14 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the transformations rely on.
 
     Timestamps without an offset are wall-clock text, so the session runs in
-    UTC; skewed joins and small shuffle partitions are left to AQE.
+    UTC; skewed joins and small shuffle partitions are left to AQE. Flattening
+    and rules are wide projections: beyond 8000 bytes of bytecode the JVM would
+    only interpret the fused method, so Spark is told to split it instead.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

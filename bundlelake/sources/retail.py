@@ -60,6 +60,16 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Spread a table of few file splits over the cores before the JSON work.
+
+    A table with at least as many splits as there are cores is left alone, so
+    large inputs get no extra shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _emit(rows: DataFrame, resource_type: str, id_sql: str, source: str,
           bundle: str, stamp: str) -> DataFrame:
     return rows.select(
@@ -81,7 +91,7 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
         _read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     rows = (
-        _read(spark, sf_dir, "customer")
+        _spread(_read(spark, sf_dir, "customer"))
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(F.col("c_custkey").alias("k"), "c_name", "n_name", "r_name")
     )
@@ -145,13 +155,15 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("k"),
-        F.col("o_custkey").alias("customer"),
-        "o_orderstatus",
-        "o_totalprice",
-        "o_orderdate",
-        "o_orderpriority",
+    return _spread(
+        _read(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("k"),
+            F.col("o_custkey").alias("customer"),
+            "o_orderstatus",
+            "o_totalprice",
+            "o_orderdate",
+            "o_orderpriority",
+        )
     )
 
 
@@ -247,9 +259,12 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
-        _read(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
-                "l_shipdate")
+        _spread(
+            _read(spark, sf_dir, "lineitem").select(
+                "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
+                "l_shipdate",
+            )
+        )
         .withColumn("k", F.expr("concat(l_orderkey, '-', l_linenumber)"))
         .withColumn(
             "status",
@@ -294,8 +309,10 @@ def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "events").select(
-        F.col("event_id").alias("k"), "ts", "user_id", "event_type", "value"
+    rows = _spread(
+        _read(spark, sf_dir, "events").select(
+            F.col("event_id").alias("k"), "ts", "user_id", "event_type", "value"
+        )
     )
     loinc = f"element_at({_sql_array(LOINC_NAMES)}, cast(k % 15 as int) + 1)"
     body = _json(
