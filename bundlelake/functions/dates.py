@@ -25,7 +25,7 @@ OTHER_LAYOUTS = (
 DATE = "yyyy-MM-dd"
 DATE_TIME = "yyyy-MM-dd'T'HH:mm:ss"
 
-_OFFSET = r"[T ]\d{1,2}:.*?(Z|[+-]\d{2}(?::?\d{2})?)$"
+_OFFSET = r"(Z|[+-]\d{2}(?::?\d{2})?)$"
 
 
 def wall_clock(text: Column) -> Column:
@@ -40,7 +40,8 @@ def wall_clock(text: Column) -> Column:
 
 def offset_text(text: Column) -> Column:
     """``Z`` or ``+hh:mm`` at the end of a date-time, else an empty string."""
-    return F.regexp_extract(text, _OFFSET, 1)
+    ending = F.regexp_extract(F.right(text, F.lit(6)), _OFFSET, 1)
+    return F.when(F.contains(text, F.lit(":")), ending).otherwise("")
 
 
 def _offset_seconds(offset: Column) -> Column:
@@ -49,7 +50,9 @@ def _offset_seconds(offset: Column) -> Column:
         F.coalesce(F.substring(digits, 2, 2).try_cast("int"), F.lit(0)) * 3600
         + F.coalesce(F.substring(digits, 4, 2).try_cast("int"), F.lit(0)) * 60
     )
-    return F.when(offset.startswith("-"), -size).otherwise(size)
+    return F.when(offset.isin("Z", ""), F.lit(0)).otherwise(
+        F.when(offset.startswith("-"), -size).otherwise(size)
+    )
 
 
 def _clock_seconds(wall: Column) -> Column:
@@ -57,18 +60,20 @@ def _clock_seconds(wall: Column) -> Column:
         F.unix_date(wall.cast("date")).cast("long") * 86400
         + F.hour(wall) * 3600
         + F.minute(wall) * 60
+        + F.second(wall)
     )
-    return whole + F.extract(F.lit("SECOND"), wall).cast("double")
+    # The sub-second part is the same in every time zone.
+    fraction = F.pmod(F.unix_micros(wall.cast("timestamp")), F.lit(1_000_000))
+    return whole + fraction / F.lit(1_000_000.0)
 
 
 def elapsed_seconds(
-    start_text: Column, end_text: Column, start_wall: Column, end_wall: Column
+    start_offset: Column, end_offset: Column, start_wall: Column, end_wall: Column
 ) -> Column:
-    """Seconds from start to end honouring the offsets of the original texts.
+    """Seconds from start to end, given wall clocks and offset texts.
 
     Null when either end is unreadable or only one of them carries an offset.
     """
-    start_offset, end_offset = offset_text(start_text), offset_text(end_text)
     wall = _clock_seconds(end_wall) - _clock_seconds(start_wall)
     shift = _offset_seconds(end_offset) - _offset_seconds(start_offset)
     return F.when((start_offset == "") == (end_offset == ""), wall - shift)

@@ -180,22 +180,25 @@ def claims_financial_summary(
 
 
 def monthly_utilization_trends(encounters: DataFrame, created_at: str) -> DataFrame:
-    hours = F.col("los")
+    # Undated encounters form groups that count nothing and are dropped after
+    # grouping; filtering them first would push the whole date parsing, and the
+    # JSON parsing below it, into the filter a second time.
+    dated = F.when(F.col("period_start") != "", F.col("encounter_id"))
     return (
-        encounters.filter(F.col("period_start") != "")
-        .select(
+        encounters.select(
             F.substring("period_start", 1, 7).alias("year_month"),
             "encounter_class",
             "status",
-            "encounter_id",
+            dated.alias("dated_id"),
             F.col("length_of_stay_hours").try_cast("double").alias("los"),
         )
         .groupBy("year_month", "encounter_class", "status")
         .agg(
-            F.count("encounter_id").alias("encounter_count"),
-            exact_sum(hours).alias("los_sum"),
-            F.count(hours).alias("los_count"),
+            F.count("dated_id").alias("encounter_count"),
+            exact_sum(F.col("los")).alias("los_sum"),
+            F.count("los").alias("los_count"),
         )
+        .filter("encounter_count > 0")
         .select(
             "year_month",
             "encounter_class",

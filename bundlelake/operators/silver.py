@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bundlelake.functions.dates import DATE, DATE_TIME, elapsed_seconds, wall_clock
+from bundlelake.functions.dates import DATE, DATE_TIME, elapsed_seconds, offset_text, wall_clock
 from bundlelake.functions.fhir import (
     code_of,
     display_of,
@@ -185,10 +185,15 @@ def flatten(bronze: DataFrame, resource_type: str) -> DataFrame:
         )
     )
     if resource_type == "Encounter":
-        parsed = parsed.withColumn(
+        parsed = parsed.withColumns(
+            {
+                "start_offset": offset_text(F.col("r.period.start")),
+                "end_offset": offset_text(F.col("r.period.end")),
+            }
+        ).withColumn(
             "stay_seconds",
             elapsed_seconds(
-                F.col("r.period.start"), F.col("r.period.end"), F.col("started"), F.col("ended")
+                F.col("start_offset"), F.col("end_offset"), F.col("started"), F.col("ended")
             ),
         )
     columns = _LAYOUTS[resource_type](F.col("r"))
