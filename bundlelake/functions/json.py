@@ -1,11 +1,14 @@
-"""SQL snippets for type-aware tests on VARIANT values.
+"""JSON parsing, and SQL snippets for type-aware tests on VARIANT values.
 
-Each helper takes and returns SQL text, so a whole rule set reaches Spark as a
+Each snippet helper takes and returns SQL text, so a whole rule set reaches Spark as a
 handful of expressions.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 _ZERO = r"r'^-?0+(\.0*)?([eE][+-]?\d+)?$'"
 _NUMERIC_OR_BOOLEAN = "r'^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)'"
 
@@ -52,3 +55,12 @@ def is_absent(value: str, text: str) -> str:
         f"CASE WHEN {text} IS NULL OR {text} = '' THEN true "
         f"WHEN {text} = '[]' THEN schema_of_variant({value}) <> 'STRING' ELSE false END"
     )
+
+
+def parsed_once(text: str, schema: str) -> Column:
+    """A JSON text column parsed behind a one-item explode.
+
+    Filters on derived columns stop at the generator. Without it Catalyst would
+    push them below the projection and parse every text again for each one.
+    """
+    return F.explode_outer(F.array(F.from_json(text, schema)))

@@ -8,20 +8,32 @@ from pyspark.sql import functions as F
 from bundlelake.operators import gold as gold_tables
 from bundlelake.operators import quality, validation
 from bundlelake.operators.bronze import latest_copies, latest_versions, to_bronze
-from bundlelake.operators.silver import flatten_all
+from bundlelake.operators.silver import flatten, flatten_all
 from bundlelake.sinks.tables import append_run_rows, write_bronze, write_gold, write_silver
 from bundlelake.sources.tables import read_bronze, read_gold, read_silver
-from bundlelake.schemas import GOLD, MIN_QUALITY_SCORE, QUALITY_LOG, RUN_LOG, SILVER
+from bundlelake.schemas import (
+    GOLD,
+    MIN_QUALITY_SCORE,
+    QUALITY_LOG,
+    RESOURCE_TYPES,
+    RUN_LOG,
+    SILVER,
+)
 
 STAGES = ("ingest", "validate", "bronze", "silver", "gold", "warehouse")
 
 
 def lazy_silver(
-    resources: DataFrame, run_id: str, latest_only: bool = False
+    resources: DataFrame,
+    run_id: str,
+    types: tuple[str, ...] = RESOURCE_TYPES,
+    latest_only: bool = False,
 ) -> dict[str, DataFrame]:
-    """Flat tables straight from resources, without writing anything."""
+    """Flat tables of the given types straight from resources, without writing anything."""
     bronze = latest_copies(to_bronze(resources, run_id))
-    return flatten_all(latest_versions(bronze) if latest_only else bronze)
+    if latest_only:
+        bronze = latest_versions(bronze)
+    return {name.lower(): flatten(bronze, name) for name in types}
 
 
 def _count(table: DataFrame) -> DataFrame:

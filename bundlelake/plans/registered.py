@@ -62,8 +62,7 @@ def _silver(spark: SparkSession, sf_dir: str, *types: str) -> dict[str, DataFram
     kinds = types or RESOURCE_TYPES
     tables: dict[str, DataFrame] = {}
     for kind in kinds:
-        flat = lazy_silver(retail.resources(spark, sf_dir, (kind,)), RUN_ID)
-        tables[kind.lower()] = flat[kind.lower()]
+        tables.update(lazy_silver(retail.resources(spark, sf_dir, (kind,)), RUN_ID, (kind,)))
     return tables
 
 
