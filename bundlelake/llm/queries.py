@@ -7,14 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlelake.llm import decontamination, licenses, quality_rules
+from bundlelake.llm import (
+    decontamination,
+    licenses,
+    mixing,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    token_files,
+)
 from bundlelake.llm.common import table
+from bundlelake.session import scratch
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.find_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "repeats.n_words",
+        "repeats.n_removed",
+        F.sha2(F.col("repeats.kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.assess(documents).select(
@@ -25,6 +44,25 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = token_files.write(documents, scratch(spark, "tokens"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read(files, "doc_id long, start long, n_tokens long, ids_crc32 long", token_files.facts)
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return planned.select(
+        F.col("key").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.search(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
@@ -41,4 +79,15 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op3_quality_rules, op8_benchmark_decontamination)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_license_scan,
+            op2_substring_dedup,
+            op3_quality_rules,
+            op4_token_files,
+            op5_source_mix,
+            op7_sharding,
+            op8_benchmark_decontamination,
+        )
+    }
