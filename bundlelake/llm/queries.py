@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from bundlelake.llm import (
     decontamination,
+    html_text,
     licenses,
     mixing,
+    near_dedup,
     quality_rules,
     sharding,
     substring_dedup,
     token_files,
+    toxicity,
 )
 from bundlelake.llm.common import table
 from bundlelake.session import scratch
@@ -59,6 +62,19 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    seen = labels.where(~toxicity.held_out(F.col("doc_id")))
+    model = toxicity.train(documents, seen)
+    return toxicity.score(documents, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
@@ -78,6 +94,15 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -87,7 +112,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_quality_rules,
             op4_token_files,
             op5_source_mix,
+            op6_toxicity,
             op7_sharding,
             op8_benchmark_decontamination,
+            op9_near_dedup,
+            op10_html_text,
         )
     }

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bundlelake.llm import decontamination, quality_rules
+from bundlelake.llm import decontamination, mixing, near_dedup, quality_rules, sharding
 from bundlelake.llm.common import stored, table
 
 #: The mix and the placement are random by design and near-duplicates need text similarity, so
@@ -20,13 +20,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.clean(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.keep_one(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontamination.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.place(docs)
+
+
 STAGES = [
     ("quality rules", quality),
+    ("near-duplicates", near_duplicates),
     ("benchmark decontamination", decontaminate),
+    ("source mix", mix),
+    ("sharding", shard),
 ]
 
 
