@@ -176,7 +176,7 @@ def _kept(window, text):
             rows = []
             spans = batch.column("_spans").to_pylist()
             copies = batch.column("_copy").to_pylist()
-            for words, mine, copy in zip(split(batch.column(text)), spans, copies, strict=True):
+            for words, mine, copy in zip(split(batch.column(text).cast(pa.binary())), spans, copies, strict=True):
                 n, factors = len(words), []
                 if copy and n >= window:
                     factors = [(0, n)]
@@ -199,7 +199,7 @@ def _kept(window, text):
                 ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string()),
                 ("factors", pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
             ])
-            yield batch.drop_columns([text, "_spans", "_copy"]).append_column("repeats", pa.array(rows, kind))
+            yield batch.drop_columns(["_spans", "_copy"]).append_column("repeats", pa.array(rows, kind))
 
     return run
 
@@ -240,9 +240,9 @@ def find_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text",
         .mapInArrow(_covered, _ROWS_SQL)
         .groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
     )
-    body, number = own_name(documents, "_body"), own_name(documents, "_doc")
+    number = own_name(documents, "_doc")
     joined = (
-        documents.withColumns({body: F.col(text).cast("binary"), number: F.col(key).cast("long")})
+        documents.withColumn(number, F.col(key).cast("long"))
         .join(copies.select(F.col("doc").alias(number), F.col("copy").alias("_copy")), number, "left")
         .join(spans.select(F.col("doc").alias(number), "_spans"), number, "left")
         .drop(number)
@@ -251,4 +251,4 @@ def find_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text",
         ", repeats struct<n_words: bigint, n_removed: bigint, kept_text: string,"
         " factors: array<struct<first: bigint, end: bigint>>>"
     )
-    return joined.select(*documents.columns, body, "_spans", "_copy").mapInArrow(_kept(window, body), schema)
+    return joined.select(*documents.columns, "_spans", "_copy").mapInArrow(_kept(window, text), schema)
