@@ -6,10 +6,12 @@ weighted Jaccard similarity; bands of draws bring candidates together, and the s
 is computed for every candidate pair that is compared.
 
 Exact copies are folded first, so a group of copies costs one row per document. In a bucket every
-document is compared with one pivot; linked documents form components; then only documents outside
-their bucket's largest component are compared with the bucket's members in other components. So every
-link between two texts of a bucket is found or both already are in one component, without
-pairing up the members of a large group of copies.
+document is compared with one pivot, the member that meets most others over all its buckets (the
+text that a group's copies were made from meets more than any copy does); linked documents
+form components. Documents of buckets that still have several components are then compared
+across components, as far as prefix filtering over their rarest shingles allows the similarity, which
+loses no pair. So every link between two texts of a bucket is found or both already are in one
+component, without pairing up the members of a large group of copies.
 """
 
 from __future__ import annotations
@@ -181,6 +183,34 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return least / (float(a[1].sum() + b[1].sum()) - least)
 
 
+def _rare_shingles(features: DataFrame, idf, similarity: float) -> DataFrame:
+    """``shingle, rep, weight, rest`` for each text's rarest shingles: prefix filtering.
+
+    All texts order their shingles alike, rare ones first. If two texts are similar enough, the
+    first shingle that they share comes before either has used up a share of ``1 - similarity`` of
+    its weight, so only those are listed; ``rest`` is the weight from the shingle on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, bag in zip(batch.column("doc").to_pylist(), batch.column("bag").to_pylist(), strict=True):
+                keys, weights = _bag(bag, idf.value)
+                order = np.lexsort((keys, -idf.value[keys & np.uint32(BUCKETS - 1)]))
+                keys, weights = keys[order], weights[order]
+                before = np.cumsum(weights) - weights
+                total = float(weights.sum())
+                n = int(np.searchsorted(before, (1 - similarity + 1e-6) * total, "right"))
+                yield pa.record_batch(
+                    [
+                        pa.array(keys[:n].view(np.int32)), pa.array(np.full(n, doc, np.int64)),
+                        pa.array(np.full(n, total)), pa.array(total - before[:n]),
+                    ],
+                    names=["shingle", "rep", "weight", "rest"],
+                )
+
+    return features.mapInArrow(run, "shingle int, rep long, weight double, rest double")
+
+
 def _verified(pairs: DataFrame, features: DataFrame, idf, similarity: float) -> DataFrame:
     """The pairs ``a, b`` whose texts are similar enough."""
 
@@ -263,8 +293,12 @@ def classes(
         drawn.join(members.where("doc = rep").select("doc").distinct(), "doc").dropDuplicates(["doc"])
         .select(F.explode("buckets").alias("bucket"), F.col("doc").alias("rep"), "weight")
     )
-    pivots = placed.groupBy("bucket").agg(F.min(F.struct("rep", "weight")).alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    shared = stored(placed.join(pivots.drop("n"), "bucket"), "buckets")
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(placed.join(sizes, "bucket"), "buckets")
+    central = shared.groupBy("rep").agg(F.sum("n").alias("centre"))
+    shared = shared.join(central, "rep")
+    pivots = shared.groupBy("bucket").agg(F.max(F.struct("centre", -F.col("rep"), "rep", "weight")).alias("pivot"))
+    shared = stored(shared.join(pivots, "bucket").drop("n", "centre"), "pivots")
     features = stored(
         source.join(shared.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
         .dropDuplicates(["doc"]).mapInArrow(_features, "doc long, bag binary"),
@@ -273,6 +307,7 @@ def classes(
     first = shared.where((F.col("rep") != F.col("pivot.rep")) & _near(F.col("weight"), F.col("pivot.weight"), similarity)).select(
         F.col("pivot.rep").alias("a"), F.col("rep").alias("b")
     ).distinct()
+    first = stored(first, "first-pairs")
     links = stored(_verified(first, features, idf, similarity), "links")
     found = components(links)
 
@@ -285,17 +320,19 @@ def classes(
         .groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
         .where("parts > 1").select("bucket", F.col("main.component").alias("main"))
     )
-    open_ = grouped.join(main, "bucket")
-    outside = open_.where("component <> main").select(
-        "bucket", F.col("rep").alias("x"), F.col("weight").alias("x_weight"), F.col("component").alias("x_component")
-    )
+    open_ = grouped.join(main, "bucket").select("rep", "component").distinct()
+    rare = _rare_shingles(features.join(open_.select(F.col("rep").alias("doc")), "doc", "left_semi"), idf, similarity)
+    rare = stored(rare.join(open_, "rep"), "rare")
+    other = rare.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("rep", "component", "weight", "rest")])
+    # with this shingle the first in common, the pair has the lesser rest in common at most
+    common = F.least("rest", "rest_b")
     second = (
-        open_.join(outside, "bucket")
-        .where((F.col("component") != F.col("x_component")) & (F.col("rep") != F.col("pivot")) & (F.col("x") != F.col("pivot")))
-        .where((F.col("component") == F.col("main")) | (F.col("rep") < F.col("x")))
-        .where(_near(F.col("weight"), F.col("x_weight"), similarity))
-        .select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b"))
+        rare.join(other, "shingle")
+        .where((F.col("rep") < F.col("rep_b")) & (F.col("component") != F.col("component_b")))
+        .where(common >= (similarity - 1e-6) * (F.col("weight") + F.col("weight_b") - common))
+        .select(F.col("rep").alias("a"), F.col("rep_b").alias("b"))
         .distinct()
+        .join(first, ["a", "b"], "left_anti")
     )
     links = links.unionAll(_verified(second, features, idf, similarity))
     found = components(links)
