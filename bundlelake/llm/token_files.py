@@ -159,17 +159,28 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        self.tokenizer = Tokenizer.from_file(path)
+        special = [(i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        #: A special token that stands between words, so that many are encoded in one call.
+        self.mark = (special[0][0], special[0][1].content) if special else None
 
     def learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHE_WORDS:
             self.clear()
             new = list(words)
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for w, e in zip(part, self.encode([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self[w] = np.array(e.ids, np.uint32).tobytes()
+        mark = self.mark[1].encode() if self.mark else b""
+        plain = [w for w in new if mark and mark not in w]
+        for w in new if len(plain) < len(new) else ():
+            if not mark or mark in w:
+                self[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32).tobytes()
+        for k in range(0, len(plain), 4096):
+            part = plain[k : k + 4096]
+            ids = np.array(self.tokenizer.encode(mark.join(part).decode(), add_special_tokens=False).ids, np.uint32)
+            cuts = [-1, *np.flatnonzero(ids == self.mark[0]).tolist(), len(ids)]
+            data = ids.tobytes()
+            for w, before, end in zip(part, cuts[:-1], cuts[1:], strict=True):
+                self[w] = data[4 * before + 4 : 4 * end]
 
     def of(self, words: list[bytes]) -> bytes:
         return b"".join(map(self.__getitem__, words))
