@@ -84,7 +84,7 @@ LICENSES: Mapping[str, Sequence[str]] = {
 #: Word beginnings that count as equal, as pattern and replacement, after
 #: punctuation has gone. A leading blank, line end or text start stands before each.
 SPELLINGS = (
-    ("(licen|offen)c", "s"),
+    ("(licen|sublicen|offen)c", "s"),
     ("(analy|authori|categori|customi|emphasi|initiali|maximi|minimi|optimi|organi|reali|recogni|utili)s", "z"),
     ("(col|fav|hon|lab|behavi)our", "or"),
     ("(acknowledg|judg)em", "m"),
