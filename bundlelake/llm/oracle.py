@@ -1,7 +1,73 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express.
+
+Written from the definitions of the results and sharing no code with the operators. The source mix,
+near-duplicates, token ids, toxicity, page text and the placement table are random, iterative or
+need a library, so they have none; tests hold them against brute force.
+"""
 
 from __future__ import annotations
 
+_WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
+
+SUBSTRING_DEDUP = rf"""
+WITH d AS (SELECT doc_id, {_WORDS.format(text='text')} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+),
+firsts AS (SELECT gram, min(doc_id) AS least FROM windows GROUP BY gram),
+gone AS (
+  SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS spots
+  FROM windows JOIN firsts USING (gram) WHERE least < doc_id GROUP BY doc_id
+),
+kept AS (
+  SELECT doc_id, n, string_agg(word, ' ' ORDER BY i) FILTER (NOT removed) AS words,
+    count(*) FILTER (removed) AS n_removed
+  FROM (
+    SELECT d.doc_id, len(w) AS n, i, w[i] AS word, coalesce(list_contains(spots, i), false) AS removed
+    FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d) d LEFT JOIN gone USING (doc_id)
+  ) GROUP BY doc_id, n
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+strings AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS gram
+  FROM (SELECT item_id, w, least(10, len(w)) AS size, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+        FROM b WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT size FROM strings),
+windows AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes)
+),
+found AS (SELECT doc_id, item_id, size, i FROM windows JOIN strings USING (size, gram)),
+items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM found GROUP BY doc_id
+),
+hits AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS spot FROM (SELECT DISTINCT doc_id, size, i FROM found)) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN items USING (doc_id) LEFT JOIN hits USING (doc_id)
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op2_substring_dedup": SUBSTRING_DEDUP, "op8_benchmark_decontamination": DECONTAMINATION}
