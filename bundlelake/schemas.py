@@ -281,5 +281,4 @@ QUALITY_WEIGHTS = {
     "uniqueness": 0.20,
 }
 MIN_QUALITY_SCORE = 70.0
-BUNDLE_ENTRY_LIMIT = 10_000
 EPOCH = "1970-01-01 00:00:00"

@@ -6,7 +6,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from bundlelake.operators.bronze import to_bronze
-from bundlelake.schemas import BUNDLE_ENTRY_LIMIT
 from bundlelake.sources.bundles import explode_resources, parse_bundles, read_documents
 
 
@@ -19,7 +18,7 @@ def stream_bundles(
     partition_date: str,
     pattern: str = "*.json",
     one_per_line: bool = False,
-    entry_limit: int = BUNDLE_ENTRY_LIMIT,
+    entry_limit: int | None = None,
 ) -> None:
     """Append all files not seen before, then stop.
 
