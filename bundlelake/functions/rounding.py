@@ -37,5 +37,8 @@ def hours_from_seconds(seconds: Column) -> Column:
 
 
 def exact_sum(value: Column) -> Column:
-    """Order-independent sum of a double column, as a double (null if no value)."""
-    return F.sum(value.cast("decimal(28,6)")).cast("double")
+    """Order-independent sum of a double column, as a double (null if no value).
+
+    Values that are no number of up to 22 whole digits count as missing.
+    """
+    return F.sum(value.try_cast("decimal(28,6)")).cast("double")

@@ -163,3 +163,10 @@ def test_percent_rank_equals_plain_window(spark, buckets):
 def test_percent_rank_of_one_row(spark):
     frame = spark.createDataFrame([(1, 2.0)], "id int, v2 double")
     assert with_percent_rank(frame, "v2", "p").first().p == 0.0
+
+
+def test_sums_survive_bad_numbers(spark):
+    from bundlelake.functions.rounding import exact_sum
+
+    values = spark.createDataFrame([(1.5,), (1e25,), (float("nan"),), (None,), (2.0,)], "v double")
+    assert values.agg(exact_sum(values["v"])).first()[0] == 3.5
