@@ -10,15 +10,19 @@ same way, the chunk index, and a footer that points to it:
 
 from __future__ import annotations
 
+import functools
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -29,8 +33,8 @@ from bundlelake.llm.common import slices, stored
 
 MAGIC = b"BPS1"
 BLOCK_IDS, LEVEL = 1 << 16, 3
-#: Words whose ids a task remembers, so that memory does not grow with the vocabulary.
-CACHE_WORDS = 300_000
+#: Words and pieces whose ids a Python worker remembers, so that memory does not grow with the vocabulary.
+CACHE_WORDS, CACHE_PIECES = 300_000, 500_000
 #: Documents in one block of document numbers and lengths.
 BLOCK_DOCS = 1 << 14
 
@@ -147,33 +151,67 @@ class Reader:
                 yield doc, pieces
 
 
+#: Words whose code points every Unicode version classes alike; no white space among them.
+_LATIN = re.compile("[\\x21-\\x7e\\xa1-\\u024f]+")
+
+#: Stands between words among ids; no vocabulary has it.
+_NO_ID = np.uint32(0xFFFFFFFF)
+_BREAK = _NO_ID.tobytes()
+
+
+def _cut_pattern(path: str) -> regex.Pattern | None:
+    """The pattern of a lower-cased word's pieces and of line ends, if the tokenizer works that way."""
+    with open(path, encoding="utf-8") as file:
+        plan = json.load(file)
+    normal, pre = plan.get("normalizer") or {}, plan.get("pre_tokenizer") or {}
+    steps = [s["type"] for s in normal.get("normalizers", ())]
+    cuts = pre.get("pretokenizers", ())
+    if steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+        return None
+    split, bytes_ = cuts
+    usual = split["behavior"] == "Removed" and split["invert"] and "Regex" in split["pattern"]
+    if not usual or bytes_["add_prefix_space"] or bytes_["use_regex"]:
+        return None
+    return regex.compile(f"{split['pattern']['Regex']}|\n")
+
+
 class WordIds(dict):
     """Ids of white-space separated words as bytes; unknown words are encoded by the tokenizer.
 
     The vocabulary drops white space and no piece spans it, so the ids of a text are those of its
-    words one after the other.
+    words one after the other. Where the tokenizer's file says that it lower-cases a word and cuts
+    it by a pattern, words of Latin letters are cut here first, and only pieces never seen before
+    are encoded: words with other capitals or punctuation share them.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        special = [(i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        self.pieces: dict[str, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder()
+        special = [(i, t) for i, t in added.items() if t.special]
         #: A special token that stands between words, so that many are encoded in one call.
         self.mark = (special[0][0], special[0][1].content) if special else None
+        self.added = re.compile("|".join(re.escape(t.content) for t in added.values()) or r"(?!)", re.I)
+        self.cut = _cut_pattern(path)
+        #: Writes the bytes of a piece in the letters of the vocabulary; ASCII ones stand for themselves.
+        self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
     def learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHE_WORDS:
             self.clear()
             new = list(words)
+        if new and self.cut is not None:
+            new = self._learn_by_pieces(new)
         mark = self.mark[1].encode() if self.mark else b""
         plain = [w for w in new if mark and mark not in w]
         for w in new if len(plain) < len(new) else ():
             if not mark or mark in w:
-                self[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32).tobytes()
+                self[w] = self._encoded(w.decode())
         for k in range(0, len(plain), 4096):
             part = plain[k : k + 4096]
             ids = np.array(self.tokenizer.encode(mark.join(part).decode(), add_special_tokens=False).ids, np.uint32)
@@ -182,10 +220,52 @@ class WordIds(dict):
             for w, before, end in zip(part, cuts[:-1], cuts[1:], strict=True):
                 self[w] = data[4 * before + 4 : 4 * end]
 
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def _learn_by_pieces(self, words: list[bytes]) -> list[bytes]:
+        """Learn the words of Latin letters, digits and symbols; returns the others."""
+        keys, shown, accented, others = [], [], [], []
+        for w, text in zip(words, b" ".join(words).decode().split(" "), strict=True):
+            if not _LATIN.fullmatch(text) or self.added.search(text):
+                others.append(w)
+                continue
+            if not text.isascii():
+                accented.append(len(keys))
+            keys.append(w)
+            shown.append(text.lower())
+        if accented:
+            texts = " ".join(keys[k].decode() for k in accented)
+            for k, text in zip(accented, self.tokenizer.normalizer.normalize_str(texts).split(" "), strict=True):
+                shown[k] = text
+        flat = self.cut.findall("\n".join(shown))
+        missing = set(flat) - self.pieces.keys()
+        if len(self.pieces) + len(missing) > CACHE_PIECES:
+            self.pieces.clear()
+            missing = set(flat)
+        model, letters = self.tokenizer.model, self.letters
+        for p in missing - {"\n"}:
+            known = p if p.isascii() else letters.pre_tokenize_str(p)[0][0]
+            self.pieces[p] = array("I", [t.id for t in model.tokenize(known)]).tobytes()
+        self.pieces["\n"] = _BREAK
+        data = b"".join(map(self.pieces.__getitem__, flat))
+        ends = [*(np.flatnonzero(np.frombuffer(data, np.uint32) == _NO_ID) * 4).tolist(), len(data)]
+        before = 0
+        for w, end in zip(keys, ends if keys else (), strict=True):
+            self[w] = data[before:end]
+            before = end + 4
+        return others
+
     def of(self, words: list[bytes]) -> bytes:
         return b"".join(map(self.__getitem__, words))
 
 
+@functools.lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """One per Python worker: what a task has learned serves the worker's next tasks."""
+    return WordIds(path)
+
+
 def _place(path: str):
     """File system and path of a folder or file, by its address."""
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
@@ -214,7 +294,7 @@ def write(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, words = TaskContext.get().partitionId(), WordIds(tokenizer)
+        part, words = TaskContext.get().partitionId(), _word_ids(tokenizer)
         system, top = _place(folder)
         system.create_dir(top, recursive=True)
         final, draft = f"{top}/part-{part:06d}.bps", f"{top}/_draft-{part:06d}-{uuid.uuid4().hex}"
