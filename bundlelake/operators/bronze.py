@@ -50,14 +50,22 @@ def to_bronze(resources: DataFrame, run_id: str) -> DataFrame:
     )
 
 
+def own_identity() -> Column:
+    """What tells resources without an id apart: where they lie and their text; null with an id."""
+    place = F.concat_ws("\x1f", "source_file", "bundle_id", "full_url", "raw_json")
+    return F.when(F.col("resource_id") == "", F.sha2(place, 256))
+
+
 def latest_copies(bronze: DataFrame) -> DataFrame:
     """Keep the newest copy of each (type, id, version).
 
     ``row_number() = 1`` lets Spark drop older copies inside each map task
     before the shuffle, so one heavily repeated resource stays cheap. The
-    trailing order columns make the choice total.
+    trailing order columns make the choice total. Resources without an id are
+    copies only if they come from the same place with the same text.
     """
-    newest = Window.partitionBy("resource_type", "resource_id", "version_id").orderBy(
+    identity = ("resource_type", "resource_id", "version_id", own_identity())
+    newest = Window.partitionBy(*identity).orderBy(
         F.desc("ingestion_timestamp"),
         F.desc("last_updated"),
         F.desc("source_file"),
@@ -73,7 +81,7 @@ def latest_copies(bronze: DataFrame) -> DataFrame:
 
 def latest_versions(bronze: DataFrame) -> DataFrame:
     """Optionally keep only the highest version of each resource."""
-    newest = Window.partitionBy("resource_type", "resource_id").orderBy(
+    newest = Window.partitionBy("resource_type", "resource_id", own_identity()).orderBy(
         F.desc(F.col("version_id").try_cast("long")),
         F.desc("version_id"),
         F.desc("ingestion_timestamp"),
@@ -88,9 +96,9 @@ def latest_versions(bronze: DataFrame) -> DataFrame:
 
 def copy_stats(bronze: DataFrame) -> DataFrame:
     """Per type: rows in, rows kept and copies removed, from counts alone."""
-    copies = bronze.groupBy("resource_type", "resource_id", "version_id").agg(
-        F.count("*").alias("n")
-    )
+    copies = bronze.groupBy(
+        "resource_type", "resource_id", "version_id", own_identity().alias("own")
+    ).agg(F.count("*").alias("n"))
     return copies.groupBy("resource_type").agg(
         F.sum("n").alias("records_ingested"),
         F.count("*").alias("records_written"),

@@ -21,7 +21,7 @@ def is_chronic(code: Column) -> Column:
 
 
 def _demographics(patients: DataFrame, *columns: str) -> DataFrame:
-    """One row per patient id: the most recently ingested one."""
+    """One row per patient id: the most recently ingested one. None for the empty id."""
     newest = Window.partitionBy("patient_id").orderBy(
         F.desc("ingestion_timestamp"),
         F.asc_nulls_last("full_name"),
@@ -29,7 +29,8 @@ def _demographics(patients: DataFrame, *columns: str) -> DataFrame:
         F.asc_nulls_last("birth_date"),
     )
     return (
-        patients.select("patient_id", "full_name", "gender", "birth_date", "ingestion_timestamp")
+        patients.filter("patient_id <> ''")
+        .select("patient_id", "full_name", "gender", "birth_date", "ingestion_timestamp")
         .withColumn("copy", F.row_number().over(newest))
         .filter("copy = 1")
         .select("patient_id", *columns)

@@ -21,8 +21,11 @@ def _label(code: Column, labels: dict[str, str]) -> Column:
 
 
 def _with_patient(rows: DataFrame, patients: DataFrame, *columns: str) -> DataFrame:
-    """Left join to patients; Catalyst and AQE choose broadcast or a skew-aware merge."""
-    names = patients.select(
+    """Left join to patients; Catalyst and AQE choose broadcast or a skew-aware merge.
+
+    A row without a subject has no patient, so patients without an id stay out.
+    """
+    names = patients.filter("patient_id <> ''").select(
         "patient_id", F.col("full_name").alias("patient_name"), *columns
     )
     return rows.join(names, "patient_id", "left")

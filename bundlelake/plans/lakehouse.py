@@ -94,10 +94,17 @@ def run_full_load(
 ) -> DataFrame:
     """Validate, score, write all zones, and log record counts per stage.
 
+    Every resource's validity and issues, and their summary per type, are stored with the run.
     Returns the log rows of the run. With ``gate_mode='quarantine'`` types
     scoring below ``min_score`` do not reach the zones.
     """
-    validated = validation.validate(resources)
+    found = validation.results(validation.validate(resources)).withColumn("run_id", F.lit(run_id))
+    checks = append_run_rows(found, f"{root}/log/validation_results")
+    checked = spark.read.schema(found.schema).parquet(checks).filter(F.col("run_id") == run_id)
+    append_run_rows(
+        validation.summary_of(checked).withColumn("run_id", F.lit(run_id)),
+        f"{root}/log/validation_summary",
+    )
     scored = quality.scores(quality.rule_outcomes(resources), min_score)
     append_run_rows(
         quality_log_rows(scored, run_id, run_at), f"{root}/log/data_quality_scores"
@@ -114,8 +121,8 @@ def run_full_load(
     gold = [read_gold(spark, root, name) for name in GOLD]
     counts = {
         "ingest": _count(resources),
-        "validate": _count(validated),
-        "bronze": _count(bronze[0].filter(F.col("pipeline_run_id") == run_id)),
+        "validate": _count(checked),
+        "bronze": _count(read_bronze(spark, root, dedup=False, run_id=run_id)),
         "silver": _total(silver),
         "gold": _total(gold),
         "warehouse": _total(bronze + silver + gold),

@@ -196,7 +196,7 @@ def adhoc_sql(spark, sf_dir):
         SELECT p.state, e.encounter_class, count(*) AS encounters,
                count(DISTINCT e.patient_id) AS patients
         FROM silver_encounter e JOIN silver_patient p ON e.patient_id = p.patient_id
-        WHERE p.state <> ''
+        WHERE p.state <> '' AND e.patient_id <> ''
         GROUP BY p.state, e.encounter_class
         """
     )
@@ -602,3 +602,17 @@ def stream_equals_batch(spark, sf_dir):
     docs = B.read_documents(spark, landing, "*.txt", one_per_line=True)
     batch = to_bronze(B.explode_resources(B.parse_bundles(docs), RUN_AT), "run-2")
     return I.difference(latest_copies(batch), sources.read_bronze(spark, root))
+
+
+@_query
+def stream_after_batch(spark, sf_dir):
+    """A batch, a stream and another batch on one table, against all rows loaded at once."""
+    landing = retail.land(spark, sf_dir, session.scratch(spark, "landing"))
+    root = session.scratch(spark, "lake")
+    docs = B.read_documents(spark, landing, "*.txt", one_per_line=True)
+    found = B.explode_resources(B.parse_bundles(docs), RUN_AT)
+    some = F.col("resource_type").isin("Patient", "Claim")
+    sinks.write_bronze(to_bronze(found.filter(some), "run-1"), root, DAY)
+    stream_bundles(spark, landing, root, "run-2", RUN_AT, DAY, "*.txt", one_per_line=True)
+    sinks.write_bronze(to_bronze(found.filter(~some), "run-3"), root, DAY)
+    return I.difference(latest_copies(to_bronze(found, "run-4")), sources.read_bronze(spark, root))

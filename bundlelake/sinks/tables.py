@@ -26,24 +26,22 @@ def write_bronze(bronze: DataFrame, root: str, partition_date: str) -> str:
     return path
 
 
-def _write(table: DataFrame, path: str, skip_empty: bool) -> str:
-    if not (skip_empty and table.isEmpty()):
-        table.write.mode("overwrite").parquet(path)
-    return path
-
-
-def write_silver(table: DataFrame, root: str, name: str, skip_empty: bool = False) -> str:
-    """Replace a flat table; with ``skip_empty`` an empty batch leaves it alone."""
+def write_silver(table: DataFrame, root: str, name: str) -> str:
+    """Replace a flat table; an empty batch empties it."""
     if name not in SILVER:
         raise ValueError(f"unknown silver table {name!r}")
-    return _write(table, f"{root}/silver/{name}", skip_empty)
+    path = f"{root}/silver/{name}"
+    table.write.mode("overwrite").parquet(path)
+    return path
 
 
-def write_gold(table: DataFrame, root: str, name: str, skip_empty: bool = False) -> str:
-    """Replace a summary table; with ``skip_empty`` an empty batch leaves it alone."""
+def write_gold(table: DataFrame, root: str, name: str) -> str:
+    """Replace a summary table; an empty batch empties it."""
     if name not in GOLD:
         raise ValueError(f"unknown gold table {name!r}")
-    return _write(table, f"{root}/gold/{name}", skip_empty)
+    path = f"{root}/gold/{name}"
+    table.write.mode("overwrite").parquet(path)
+    return path
 
 
 def append_ledger(entries: DataFrame, path: str) -> str:

@@ -10,19 +10,21 @@ from bundlelake.operators.bronze import latest_copies
 from bundlelake.schemas import BRONZE, BRONZE_COLUMNS, GOLD, SILVER
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path).limit(0).schema
-        return True
-    except AnalysisException:
-        return False
+#: Streams write bronze here, batch loads to ``bronze``; readers see both.
+STREAMED_BRONZE = "bronze_streamed"
 
 
 def read_table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """A Parquet table with a fixed schema; empty when it was never written."""
-    if not _exists(spark, path):
+    """A Parquet table with a fixed schema; empty when it was never written.
+
+    Only a missing path means that; any other failure to read is raised.
+    """
+    try:
+        return spark.read.schema(ddl).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], ddl)
-    return spark.read.schema(ddl).parquet(path)
 
 
 def read_bronze(
@@ -31,14 +33,19 @@ def read_bronze(
     resource_type: str | None = None,
     partition_date: str | None = None,
     dedup: bool = True,
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Bronze rows of one type and day, or of everything.
+    """Bronze rows of one type, day and run, or of everything, batch loads and streams alike.
 
-    Both filters are on partition columns and prune folders. Every run appends
+    All filters are on partition columns and prune folders. Every run appends
     its own folder, so copies across runs are dropped here.
     """
     layout = BRONZE + ", dt string, run_id string"
-    rows = read_table(spark, f"{root}/bronze", layout)
+    rows = read_table(spark, f"{root}/bronze", layout).unionByName(
+        read_table(spark, f"{root}/{STREAMED_BRONZE}", layout)
+    )
+    if run_id:
+        rows = rows.filter(F.col("run_id") == run_id)
     if resource_type:
         rows = rows.filter(F.col("resource_type") == resource_type)
     if partition_date:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bundlelake.operators.bronze import to_bronze
 from bundlelake.sources.bundles import explode_resources, parse_bundles, read_documents
+from bundlelake.sources.tables import STREAMED_BRONZE
 
 
 def stream_bundles(
@@ -23,8 +24,10 @@ def stream_bundles(
     """Append all files not seen before, then stop.
 
     The checkpoint remembers finished files and the file sink commits each
-    batch once, so a restart neither loses nor repeats files. Copies of a
-    resource are dropped when bronze is read, as for batch loads.
+    batch once, so a restart neither loses nor repeats files. The sink's log
+    would hide files that others write beside it, so the stream has a folder of
+    its own, and reading bronze reads both. Copies of a resource are dropped
+    then, as for batch loads.
     """
     docs = read_documents(spark, landing, pattern, one_per_line, stream=True)
     bronze = to_bronze(
@@ -35,7 +38,7 @@ def stream_bundles(
         .withColumn("run_id", F.col("pipeline_run_id"))
         .writeStream.format("parquet")
         .partitionBy("resource_type", "dt", "run_id")
-        .option("path", f"{root}/bronze")
+        .option("path", f"{root}/{STREAMED_BRONZE}")
         .option("checkpointLocation", f"{root}/_checkpoints/bronze")
         .outputMode("append")
         .trigger(availableNow=True)

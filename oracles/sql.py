@@ -179,7 +179,7 @@ _ALL = {
     ),
     "kept": """
 SELECT * FROM raw QUALIFY row_number() OVER (
-  PARTITION BY resource_type, resource_id, version_id
+  PARTITION BY resource_type, resource_id, version_id, CASE WHEN resource_id = '' THEN bundle_id END
   ORDER BY stamp DESC, last_updated DESC, source_file DESC, bundle_id DESC) = 1""",
 }
 
@@ -213,7 +213,7 @@ SELECT coalesce(id, '') AS patient_id,
   CASE WHEN k % 12 = 0 THEN '' WHEN k % 4 = 1 THEN 'es' ELSE 'en-US' END AS preferred_language,
   {_LINEAGE}
 FROM rp QUALIFY row_number() OVER (
-  PARTITION BY coalesce(id, ''), version ORDER BY bundle_id DESC) = 1""",
+  PARTITION BY coalesce(id, bundle_id), version ORDER BY bundle_id DESC) = 1""",
     "se": f"""
 SELECT id AS encounter_id, {_AFTER_SLASH} AS patient_id, coalesce(status, '') AS status,
   coalesce(cls, '') AS encounter_class, '185349003' AS type_code,
@@ -281,7 +281,7 @@ _CHRONIC = "regexp_matches(condition_code, '^(" + "|".join(CHRONIC_PREFIXES) + "
 
 GOLD = {
     "people": """
-SELECT patient_id, full_name, gender, birth_date FROM sp QUALIFY row_number() OVER (
+SELECT patient_id, full_name, gender, birth_date FROM sp WHERE patient_id <> '' QUALIFY row_number() OVER (
   PARTITION BY patient_id ORDER BY ingestion_timestamp DESC, full_name, gender, birth_date) = 1""",
     "ge": f"""
 SELECT e.*, full_name, gender, birth_date FROM (
@@ -644,7 +644,8 @@ FROM (SELECT DISTINCT event_type AS source_key FROM events) s LEFT JOIN (
 def _detail(cte: str, columns: str) -> str:
     return (
         f"SELECT {columns} FROM {cte} x "
-        "LEFT JOIN (SELECT patient_id, full_name AS patient_name, gender FROM sp) p "
+        "LEFT JOIN (SELECT patient_id, full_name AS patient_name, gender FROM sp "
+        "WHERE patient_id <> '') p "
         "USING (patient_id)"
     )
 
@@ -683,7 +684,8 @@ FROM kept WHERE resource_type = 'Observation'""",
     "adhoc_sql": """
 SELECT state, encounter_class, count(*) AS encounters,
   count(DISTINCT se.patient_id) AS patients
-FROM se JOIN sp ON se.patient_id = sp.patient_id WHERE state <> '' GROUP BY ALL""",
+FROM se JOIN sp ON se.patient_id = sp.patient_id
+WHERE state <> '' AND se.patient_id <> '' GROUP BY ALL""",
     "bronze_roundtrip": """
 SELECT resource_type, resource_id, version_id, last_updated, source_file, bundle_id, full_url,
   stamp AS ingestion_timestamp, substr(stamp, 1, 10) AS ingestion_date,
@@ -691,7 +693,8 @@ SELECT resource_type, resource_id, version_id, last_updated, source_file, bundle
     "bronze_stats": """
 SELECT resource_type, CAST(sum(n) AS BIGINT) AS records_ingested, count(*) AS records_written,
   CAST(sum(n) - count(*) AS BIGINT) AS duplicates_removed
-FROM (SELECT resource_type, resource_id, version_id, count(*) AS n FROM raw GROUP BY ALL)
+FROM (SELECT resource_type, resource_id, version_id,
+    CASE WHEN resource_id = '' THEN bundle_id END AS own, count(*) AS n FROM raw GROUP BY ALL)
 GROUP BY resource_type""",
     "silver_roundtrip": "SELECT * FROM se",
     "gold_roundtrip": "SELECT * FROM gl",
@@ -888,10 +891,13 @@ SELECT resource_type, count(*) AS left_rows, count(*) AS right_rows,
     "stream_equals_batch": """
 SELECT resource_type, count(*) AS left_rows, count(*) AS right_rows,
   CAST(0 AS BIGINT) AS unmatched_rows
-FROM (SELECT DISTINCT resource_type, resource_id, version_id FROM landed)
+FROM (SELECT DISTINCT resource_type, resource_id, version_id,
+    CASE WHEN resource_id = '' THEN bundle_id END AS own FROM landed)
 GROUP BY resource_type""",
 }
 
+QUERIES["stream_after_batch"] = QUERIES["stream_equals_batch"]
+
 _CTES = {
     **RAW, **_ALL, **SILVER, **GOLD, **VALIDATION, **QUALITY, **_CODE_NAMES, **_LANDED_BRONZE,
 }

@@ -2,13 +2,14 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from bundlelake import session
 from bundlelake.operators import incremental as I
 from bundlelake.operators.bronze import latest_copies, to_bronze
 from bundlelake.schemas import FILE_LEDGER, WATERMARK_LEDGER
-from bundlelake.sinks.tables import append_ledger
+from bundlelake.sinks.tables import append_ledger, write_bronze
 from bundlelake.sources import bundles as B
 from bundlelake.sources import tables as sources
 from bundlelake.streaming.ingest import stream_bundles
@@ -21,7 +22,7 @@ AT = "2024-01-15T10:00:00+00:00"
 def landing(tmp_path_factory):
     folder = tmp_path_factory.mktemp("landing")
     for i in (1, 2, 3):
-        doc = S.bundle(f"bundle-{i}", S.record(f"patient-00{i}"))
+        doc = S.bundle(f"bundle-{i}", S.record(f"p-{i}00"))
         if i == 1:
             doc["entry"][2:2] = [{"fullUrl": "urn:x"}, {"resource": {}},
                                  {"resource": {"resourceType": "Device", "id": "d"}}]
@@ -29,7 +30,7 @@ def landing(tmp_path_factory):
     (folder / "broken.json").write_text('{"resourceType": "Bundle", "entry": [')
     (folder / "blank.json").write_text("\n")
     (folder / "empty.json").write_text("")  # zero bytes: Spark does not list it
-    (folder / "patient.json").write_text(json.dumps(S.record("patient-001")[0]))
+    (folder / "patient.json").write_text(json.dumps(S.record("p-100")[0]))
     (folder / "notes.txt").write_text("not for us")
     return str(folder)
 
@@ -41,7 +42,7 @@ def test_scan_and_rejects(spark, landing):
     assert counts == {"Patient": 3, "Encounter": 9, "Condition": 15, "Observation": 24,
                       "Claim": 6, "total": 57}
     first = found.filter("bundle_id = 'bundle-1' AND entry_index = 0").first()
-    assert first.full_url == "urn:uuid:patient-001" and first.source_file.endswith("b1.json")
+    assert first.full_url == "urn:uuid:p-100" and first.source_file.endswith("b1.json")
     rejects = {os.path.basename(r.source_file): r.reason for r in B.rejected(parsed).collect()}
     assert rejects == {"broken.json": B.MALFORMED, "blank.json": B.MALFORMED,
                        "patient.json": B.NOT_A_BUNDLE}
@@ -54,7 +55,10 @@ def test_report_and_limit(spark, landing):
     assert (row.total_entries, row.skipped_entries, row.observation_count) == (22, 3, 8)
     assert row.errors == ["Entry 2 has no 'resource' field", "Entry 3 has no 'resource' field"]
     limited = B.parse_bundles(docs, 4)
-    assert {r.total_entries for r in B.ingestion_report(limited).collect()} == {4}
+    cut = {r.bundle_id: r for r in B.ingestion_report(limited).collect()}
+    assert {k: (r.total_entries, r.skipped_entries) for k, r in cut.items()} == {
+        "bundle-1": (22, 20), "bundle-2": (19, 15), "bundle-3": (19, 15)}
+    assert cut["bundle-2"].errors == ["15 entries past the limit were not read"]
     assert B.explode_resources(limited, AT).count() == 2 + 4 + 4
 
 
@@ -80,6 +84,23 @@ def test_stream_equals_batch_and_restarts_add_nothing(spark, landing, tmp_path):
     assert sum(r.left_rows for r in rows) == 57 and {r.unmatched_rows for r in rows} == {0}
 
 
+def test_batches_before_and_after_a_stream_stay(spark, resources_of, landing, tmp_path):
+    root = str(tmp_path)
+    early, late = ({"resourceType": "Patient", "id": i} for i in ("early", "late"))
+    write_bronze(to_bronze(resources_of(early), "a"), root, "2024-01-15")
+    stream_bundles(spark, landing, root, "s", AT, "2024-01-15")
+    write_bronze(to_bronze(resources_of(late), "b"), root, "2024-01-15")
+    found = {r.resource_id for r in sources.read_bronze(spark, root, "Patient").collect()}
+    assert found == {"early", "late", "p-100", "p-200", "p-300"}
+    assert sources.read_bronze(spark, root, run_id="s").count() == 57
+
+
+def test_only_a_missing_table_is_empty(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        sources.read_table(spark, str(tmp_path), "a int, a int")  # not a table: names repeat
+    assert sources.read_table(spark, str(tmp_path / "none"), FILE_LEDGER).count() == 0
+
+
 def test_pending_files_and_ledger(spark, landing, tmp_path):
     files = sources.list_files(spark, landing)
     assert files.count() == 6

@@ -50,24 +50,24 @@ def test_samples_are_clean(everyone):
 def test_encounter_summary(lake):
     rows = rows_by(lake[3]["patient_encounter_summary"])
     expected = {
-        "patient-001": (33.67, 93.0, 1.5, "2023-03-10T09:00:00", "2023-11-05T02:15:00"),
-        "patient-002": (40.33, 114.5, 1.25, "2023-02-08T10:00:00", "2023-09-22T03:45:00"),
-        "patient-003": (27.83, 78.0, 1.0, "2023-04-05T13:00:00", "2023-12-10T09:00:00"),
+        "p-100": (26.25, 72.0, 0.75, "2022-01-04T08:00:00", "2022-03-20T22:30:00"),
+        "p-200": (23.5, 60.0, 2.0, "2022-04-06T13:00:00", "2022-06-15T01:00:00"),
+        "p-300": (34.5, 98.0, 0.5, "2022-07-09T17:15:00", "2022-09-02T12:00:00"),
     }
     for pid, values in expected.items():
         r = rows[pid]
         assert (r.avg_los_hours, r.max_los_hours, r.min_los_hours, r.earliest_encounter_date,
                 r.latest_encounter_date) == values
         assert (r.total_encounters, r.amb_encounters, r.imp_encounters, r.emer_encounters) == (3, 1, 1, 1)
-    assert rows["patient-001"].full_name == "Carlos Martinez"
+    assert rows["p-100"].full_name == "Noor Haddad"
 
 
 def test_condition_profile(lake):
     rows = rows_by(lake[3]["patient_condition_profile"])
     expected = {
-        "patient-001": (4, 4, "E11.9|E78.5|I10|I69.30", "2015-06-01", "2023-11-05"),
-        "patient-002": (4, 4, "I10|I48.91|I50.9|N18.3", "2016-08-22", "2023-05-14"),
-        "patient-003": (4, 3, "F32.1|K21.0|M06.9|M81.0", "2019-11-20", "2023-04-05"),
+        "p-100": (4, 3, "E10.9|G43.1|J45.20|N18.4", "2009-08-21", "2022-02-11"),
+        "p-200": (4, 4, "I11.0|I25.10|J44.9|M05.79", "2008-04-04", "2022-05-01"),
+        "p-300": (4, 3, "E13.65|F33.0|I11.9|L40.0", "2018-07-23", "2022-08-19"),
     }
     for pid, values in expected.items():
         r = rows[pid]
@@ -78,32 +78,32 @@ def test_condition_profile(lake):
 
 def test_patient_360_and_costs(lake):
     rows = rows_by(W.patient_360(lake[3]))
-    expected = {"patient-001": (4435.0, 2217.5, 1478.33), "patient-002": (7045.0, 3522.5, 2348.33),
-                "patient-003": (4135.0, 2067.5, 1378.33)}
+    expected = {"p-100": (9220.5, 4610.25, 3073.5), "p-200": (3060.0, 1530.0, 1020.0),
+                "p-300": (5495.5, 2747.75, 1831.83)}
     for pid, values in expected.items():
         r = rows[pid]
         assert (r.total_billed, r.avg_claim_value, r.cost_per_encounter) == values
         assert r.risk_tier == "MEDIUM" and (r.professional_claims, r.institutional_claims) == (1, 1)
     tiers = [(r.patient_id, r.cost_percentile, r.cost_tier)
              for r in W.high_cost_patients(lake[3]).collect()]
-    assert tiers == [("patient-002", 1.0, "Top 25%"), ("patient-001", 0.5, "Top 50%"),
-                     ("patient-003", 0.0, "Bottom 50%")]
+    assert tiers == [("p-100", 1.0, "Top 25%"), ("p-300", 0.5, "Top 50%"), ("p-200", 0.0, "Bottom 50%")]
 
 
 def test_disease_burden(lake):
     rows = rows_by(W.chronic_disease_burden(lake[3]), "condition_group")
-    assert len(rows) == 11
-    assert (rows["Hypertension"].total_patient_occurrences, rows["Hypertension"].prevalence_pct) == (2, 66.7)
-    assert {r.prevalence_pct for g, r in rows.items() if g != "Hypertension"} == {33.3}
+    found = {g: (r.total_patient_occurrences, r.prevalence_pct) for g, r in rows.items()}
+    assert found == {
+        "Diabetes": (2, 66.7), "Hypertension": (2, 66.7), "Chronic Kidney Disease": (1, 33.3),
+        "Rheumatoid Arthritis": (1, 33.3), "Depression": (1, 33.3), "Other": (5, 166.7)}
 
 
 def test_utilization(lake):
     rows = W.encounter_utilization_summary(lake[3]).collect()
     assert len(rows) == 9 and {r.pct_of_monthly_volume for r in rows} == {100.0}
-    for kind, months in {"AMB": ("02", "03", "04"), "IMP": ("05", "07", "12"),
-                         "EMER": ("08", "09", "11")}.items():
+    for kind, months in {"AMB": ("01", "04", "08"), "IMP": ("02", "05", "09"),
+                         "EMER": ("03", "06", "07")}.items():
         found = [(r.year_month, r.running_total_by_class) for r in rows if r.encounter_class == kind]
-        assert found == [(f"2023-{m}", i + 1) for i, m in enumerate(months)]
+        assert found == [(f"2022-{m}", i + 1) for i, m in enumerate(months)]
 
 
 def test_detail_views(lake):
@@ -112,9 +112,9 @@ def test_detail_views(lake):
     assert {(r.encounter_class, r.los_category) for r in stays} == {
         ("AMB", "short_stay"), ("EMER", "observation"), ("IMP", "inpatient")}
     days = W.condition_detail(silver).filter("condition_duration_days IS NOT NULL").collect()
-    assert [r.condition_duration_days for r in days] == [14, 14, 14]
-    person = rows_by(W.patient_demographics(silver, "2024-06-30"))["patient-001"]
-    assert (person.age_years, person.gender_code, person.display_name) == (46, "M", "Carlos Martinez")
+    assert sorted(r.condition_duration_days for r in days) == [7, 14, 30]
+    person = rows_by(W.patient_demographics(silver, "2024-06-30"))["p-100"]
+    assert (person.age_years, person.gender_code, person.display_name) == (34, "F", "Noor Haddad")
     assert W.observation_detail(silver).first().category_label == "Laboratory"
     assert W.claim_detail(silver).count() == 6
 
@@ -139,6 +139,25 @@ def test_undated_and_empty_inputs(resources_of):
     assert G.claims_financial_summary(silver["patient"], silver["claim"], RUN_AT).count() == 0
 
 
+def test_no_id_no_patient(resources_of):
+    nobody = [{"resourceType": "Patient", "name": [{"family": n}]} for n in ("Stone", "Rivers")]
+    visit = S.encounter("e", "p", "AMB", "2023-01-01", "2023-01-01", subject=None)
+    silver = lazy_silver(resources_of(*nobody, nobody[0], visit), "r")
+    # the frame gives each resource a place of its own, so all three stay
+    assert sorted(r.full_name for r in silver["patient"].collect()) == ["Rivers", "Stone", "Stone"]
+    row = W.encounter_detail(silver).collect()
+    assert [(r.patient_id, r.patient_name) for r in row] == [("", None)]
+    total = G.patient_encounter_summary(silver["patient"], silver["encounter"], RUN_AT).first()
+    assert (total.patient_id, total.full_name) == ("", None)
+
+
+def test_run_keeps_its_validation(spark, lake):
+    summary = spark.read.parquet(f"{lake[0]}/log/validation_summary")
+    rows = {r.resource_type: (r.checked, r.valid, r.errors) for r in summary.collect()}
+    assert rows["all"] == (57, 57, 0) and rows["Observation"] == (24, 24, 0)
+    assert spark.read.parquet(f"{lake[0]}/log/validation_results").count() == 57
+
+
 def test_quarantine_keeps_bad_types_out(spark, resources_of, tmp_path):
     twins = [S.patient("p", "A", "B", "C", "male", "1980-01-01")] * 4
     visit = S.encounter("e", "p", "AMB", "2023-01-01", "2023-01-01")
