@@ -57,10 +57,10 @@ def is_absent(value: str, text: str) -> str:
     )
 
 
-def parsed_once(text: str, schema: str) -> Column:
+def parsed_once(text: str, schema: str, options: dict[str, str] | None = None) -> Column:
     """A JSON text column parsed behind a one-item explode.
 
     Filters on derived columns stop at the generator. Without it Catalyst would
     push them below the projection and parse every text again for each one.
     """
-    return F.explode_outer(F.array(F.from_json(text, schema)))
+    return F.explode_outer(F.array(F.from_json(text, schema, options)))

@@ -37,12 +37,21 @@ def _demographics(patients: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def _described(totals: DataFrame, patients: DataFrame | None, *columns: str) -> DataFrame:
+    """Totals per patient, with demographics after them unless there is no patient table."""
+    if patients is None:
+        return totals
+    return totals.join(_demographics(patients, *columns), "patient_id", "left").select(
+        *totals.columns, *columns
+    )
+
+
 def _text(value: Column, layout: str) -> Column:
     return F.date_format(value, layout)
 
 
 def patient_encounter_summary(
-    patients: DataFrame, encounters: DataFrame, created_at: str
+    patients: DataFrame | None, encounters: DataFrame, created_at: str
 ) -> DataFrame:
     visits = encounters.select(
         "patient_id",
@@ -64,9 +73,7 @@ def patient_encounter_summary(
         F.max("started").alias("latest"),
         F.min("started").alias("earliest"),
     )
-    return totals.join(
-        _demographics(patients, "full_name", "gender", "birth_date"), "patient_id", "left"
-    ).select(
+    summary = totals.select(
         "patient_id",
         "total_encounters",
         "amb_encounters",
@@ -77,15 +84,14 @@ def patient_encounter_summary(
         half_even(F.col("los_min")).alias("min_los_hours"),
         _text(F.col("latest"), DATE_TIME).alias("latest_encounter_date"),
         _text(F.col("earliest"), DATE_TIME).alias("earliest_encounter_date"),
-        "full_name",
-        "gender",
-        "birth_date",
-        F.lit(created_at).alias("gold_created_at"),
+    )
+    return _described(summary, patients, "full_name", "gender", "birth_date").withColumn(
+        "gold_created_at", F.lit(created_at)
     )
 
 
 def patient_condition_profile(
-    patients: DataFrame, conditions: DataFrame, created_at: str
+    patients: DataFrame | None, conditions: DataFrame, created_at: str
 ) -> DataFrame:
     # Repeats of the same diagnosis collapse first, on a key that spreads a
     # patient with very many rows; only distinct diagnoses reach the lists.
@@ -119,9 +125,7 @@ def patient_condition_profile(
         F.min("first_onset").alias("first_onset"),
         F.max("last_onset").alias("last_onset"),
     )
-    return profile.join(
-        _demographics(patients, "full_name", "gender", "birth_date"), "patient_id", "left"
-    ).select(
+    summary = profile.select(
         "patient_id",
         "total_conditions",
         "active_condition_count",
@@ -131,15 +135,14 @@ def patient_condition_profile(
         "active_condition_names",
         _text(F.col("first_onset"), DATE).alias("earliest_condition_onset"),
         _text(F.col("last_onset"), DATE).alias("most_recent_condition_onset"),
-        "full_name",
-        "gender",
-        "birth_date",
-        F.lit(created_at).alias("gold_created_at"),
+    )
+    return _described(summary, patients, "full_name", "gender", "birth_date").withColumn(
+        "gold_created_at", F.lit(created_at)
     )
 
 
 def claims_financial_summary(
-    patients: DataFrame, claims: DataFrame, created_at: str
+    patients: DataFrame | None, claims: DataFrame, created_at: str
 ) -> DataFrame:
     bills = claims.select(
         "patient_id",
@@ -161,9 +164,7 @@ def claims_financial_summary(
         F.max("created").alias("latest"),
         F.min("created").alias("earliest"),
     )
-    return totals.join(
-        _demographics(patients, "full_name", "gender"), "patient_id", "left"
-    ).select(
+    summary = totals.select(
         "patient_id",
         "total_claims",
         half_even(F.coalesce("billed", F.lit(0.0))).alias("total_billed"),
@@ -174,9 +175,9 @@ def claims_financial_summary(
         "institutional_claims",
         _text(F.col("latest"), DATE).alias("latest_claim_date"),
         _text(F.col("earliest"), DATE).alias("earliest_claim_date"),
-        "full_name",
-        "gender",
-        F.lit(created_at).alias("gold_created_at"),
+    )
+    return _described(summary, patients, "full_name", "gender").withColumn(
+        "gold_created_at", F.lit(created_at)
     )
 
 
@@ -213,7 +214,7 @@ def monthly_utilization_trends(encounters: DataFrame, created_at: str) -> DataFr
 
 
 def build(name: str, silver: dict[str, DataFrame], created_at: str) -> DataFrame:
-    """One summary by its table name."""
+    """One summary by its table name; without demographics if ``silver["patient"]`` is None."""
     makers = {
         "patient_encounter_summary": lambda: patient_encounter_summary(
             silver["patient"], silver["encounter"], created_at

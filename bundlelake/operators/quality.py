@@ -144,25 +144,47 @@ def _per_rule(per_type: DataFrame, kept: list[QualityRule], uniqueness: bool) ->
 def rule_outcomes(resources: DataFrame, *dimensions: str) -> DataFrame:
     """Pass and fail counts of every rule, in one pass over the resources.
 
-    Distinct ids are counted in the same aggregation: Spark first groups by
-    (type, id), so neither a large type nor a much repeated id meets one task.
+    With uniqueness, equal rows first collapse to (type, id, failed rules as bits) and
+    a count. Both the rule counts and the distinct ids are taken from that narrow
+    table, so no counter per rule is shuffled, and neither a large type nor a much
+    repeated id meets one task.
     """
     wanted = dimensions or tuple(QUALITY_WEIGHTS)
     kept = [rule for rule in RULES if rule.dimension in wanted]
     uniqueness = "uniqueness" in wanted
-    measures = [F.count("*").alias("total")]
-    measures += [F.count_if(F.col(rule.name)).alias(rule.name) for rule in kept]
-    if uniqueness:
-        measures += [
-            F.count("identifier").alias("with_id"),
-            F.count_distinct("identifier").alias("distinct_ids"),
-        ]
-    checked = with_facts(resources).selectExpr(
-        "resource_type",
-        "CASE WHEN NOT blank_id THEN id END AS identifier",
-        *[f"{rule.applies_and_fails()} AS {rule.name}" for rule in kept],
+    facts = with_facts(resources)
+    if not uniqueness:
+        checked = facts.selectExpr(
+            "resource_type", *[f"{rule.applies_and_fails()} AS {rule.name}" for rule in kept]
+        )
+        measures = [F.count_if(F.col(rule.name)).alias(rule.name) for rule in kept]
+        per_type = checked.groupBy("resource_type").agg(F.count("*").alias("total"), *measures)
+        return _per_rule(per_type, kept, uniqueness)
+    bits = [f"if({rule.applies_and_fails()}, {1 << k}L, 0L)" for k, rule in enumerate(kept)]
+    narrow = (
+        facts.selectExpr(
+            "resource_type",
+            "CASE WHEN NOT blank_id THEN id END AS identifier",
+            f"{' | '.join(bits) or '0L'} AS failed_bits",
+        )
+        .groupBy("resource_type", "identifier", "failed_bits")
+        .agg(F.count("*").alias("n"))
+    )
+    per_type = narrow.groupBy("resource_type").agg(
+        F.sum("n").alias("total"),
+        *[
+            F.sum(F.when(F.expr(f"failed_bits & {1 << k}L") != 0, F.col("n")).otherwise(0)).alias(rule.name)
+            for k, rule in enumerate(kept)
+        ],
+    )
+    # Summing ``n`` here too makes both branches read the same exchange.
+    per_id = narrow.groupBy("resource_type", "identifier").agg(F.sum("n").alias("n"))
+    ids = per_id.groupBy(F.col("resource_type").alias("id_type")).agg(
+        F.sum(F.when(F.col("identifier").isNotNull(), F.col("n")).otherwise(0)).alias("with_id"),
+        F.count("identifier").alias("distinct_ids"),
     )
-    return _per_rule(checked.groupBy("resource_type").agg(*measures), kept, uniqueness)
+    per_type = per_type.join(ids, F.col("resource_type").eqNullSafe(F.col("id_type"))).drop("id_type")
+    return _per_rule(per_type, kept, uniqueness)
 
 
 def rule_details(resources: DataFrame, limit: int = DETAIL_LINES) -> DataFrame:

@@ -252,7 +252,7 @@ def _condition_group(code: Column) -> Column:
 def chronic_disease_burden(gold: Tables) -> DataFrame:
     """Codes, patients and prevalence per condition group, most frequent first."""
     profile = gold["patient_condition_profile"]
-    population = profile.agg(F.count_distinct("patient_id")).scalar()
+    population = profile.agg(F.count("patient_id")).scalar()  # one row per patient
     codes = profile.filter(F.col("active_icd_codes") != "").select(
         "patient_id", F.explode(F.split("active_icd_codes", "[|]")).alias("code")
     )

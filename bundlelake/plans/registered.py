@@ -74,7 +74,15 @@ _GOLD_INPUTS = {
 }
 
 
-_PER_PATIENT = tuple(name for name in GOLD if name != "monthly_utilization_trends")
+def _patient_360_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three per-patient summaries; patients are flattened and joined for the first only."""
+    silver = _silver(spark, sf_dir, "Patient", "Encounter", "Condition", "Claim")
+    unnamed = {**silver, "patient": None}
+    return {
+        "patient_encounter_summary": G.build("patient_encounter_summary", silver, RUN_AT),
+        "patient_condition_profile": G.build("patient_condition_profile", unnamed, RUN_AT),
+        "claims_financial_summary": G.build("claims_financial_summary", unnamed, RUN_AT),
+    }
 
 
 def _gold(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
@@ -481,7 +489,7 @@ def vw_claim_detail(spark, sf_dir):
 
 @_query
 def vw_patient_360(spark, sf_dir):
-    return W.patient_360(_gold(spark, sf_dir, *_PER_PATIENT))
+    return W.patient_360(_patient_360_inputs(spark, sf_dir))
 
 
 @_query
@@ -527,7 +535,7 @@ def vitals_top10(spark, sf_dir):
 
 @_query
 def patient_360_report(spark, sf_dir):
-    return W.patient_360_report(_gold(spark, sf_dir, *_PER_PATIENT))
+    return W.patient_360_report(_patient_360_inputs(spark, sf_dir))
 
 
 # --- incremental and streaming ----------------------------------------------------
