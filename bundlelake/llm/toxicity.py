@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,20 +41,30 @@ def grams_of(word: str) -> list[int]:
     return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in found]
 
 
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """A text as buckets and their shares: the mean over words of the mean over n-grams."""
+class _Grams(dict):
+    """Buckets of words, kept up to a bound."""
+
+    def __missing__(self, word: str) -> np.ndarray:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        value = self[word] = np.array(grams_of(word), np.int32)
+        return value
+
+
+def features(text: str | None, grams: _Grams | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A text as buckets and their shares: the mean over words of the mean over n-grams.
+
+    ``grams`` remembers the buckets of words from one text to the next.
+    """
     words = words_of(text)
     if not words:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    counts: dict[str, int] = {}
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
-    buckets, shares = [], []
-    for w, n in counts.items():
-        grams = grams_of(w)
-        buckets += grams
-        shares += [n / len(grams)] * len(grams)
-    names, at = np.unique(np.array(buckets, np.int32), return_inverse=True)
+    grams = _Grams() if grams is None else grams
+    counts = Counter(words)
+    buckets = [grams[w] for w in counts]
+    sizes = np.array([len(b) for b in buckets])
+    shares = np.repeat(np.array(list(counts.values())) / sizes, sizes)
+    names, at = np.unique(np.concatenate(buckets), return_inverse=True)
     return names, (np.bincount(at, weights=shares) / len(words)).astype(np.float32)
 
 
@@ -86,10 +97,10 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, base_rate
             error = odds / odds.sum(1, keepdims=True)
             error[np.arange(len(some)), labels[some]] -= 1
             error /= len(some)
-            back = (error @ softmax.T)[row] * shares[:, None]
-            order = np.argsort(names, kind="stable")
-            touched, at = np.unique(names[order], return_index=True)
-            gradient = np.add.reduceat(back[order], at, axis=0)
+            # the two columns of error are opposite, so a text moves all its buckets along one direction
+            pull = np.bincount(names, error[row, 1] * shares, BUCKETS)
+            touched = np.flatnonzero(pull)
+            gradient = np.outer(pull[touched], softmax[:, 1] - softmax[:, 0]).astype(np.float32)
             seen[0][touched] += gradient**2
             embedding[touched] -= RATE * gradient / np.sqrt(seen[0][touched])
             move(softmax, mean.T @ error, seen[1])
@@ -127,9 +138,9 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bags, labels = [], []
+        bags, labels, grams = [], [], _Grams()
         for batch in batches:
-            bags += [features(t) for t in batch.column("text").to_pylist()]
+            bags += [features(t, grams) for t in batch.column("text").to_pylist()]
             labels += batch.column("label").to_pylist()
         if bags:
             weights, odds = fit(bags, np.array(labels, np.int64), base)
@@ -153,6 +164,16 @@ class _Scores(dict):
         return value
 
 
+_scores: list[_Scores] = []
+
+
+def _scores_of(weights: np.ndarray) -> _Scores:
+    """The last model's word scores in this Python worker, which serve its next tasks too."""
+    if not _scores or _scores[0].weights is not weights:
+        _scores[:] = [_Scores(weights)]
+    return _scores[0]
+
+
 def score(documents: DataFrame, model: tuple[np.ndarray, float], text: str = "text", into: str = "score") -> DataFrame:
     """Add the probability of label 1 to every row, from its whole text.
 
@@ -166,7 +187,7 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, odds = sent.value
-        get = _Scores(weights).__getitem__
+        get = _scores_of(weights).__getitem__
         for batch in slices(batches, body):
             out = []
             for t in batch.column(body).to_pylist():
