@@ -6,16 +6,16 @@ never sees JSON, so agreement checks parsing, rules and aggregation alike.
 
 from __future__ import annotations
 
-from bundlelake.schemas import (
+from oracles.fixed import (
     CHRONIC_PREFIXES,
     CONDITION_GROUPS,
     ENCOUNTER_CLASSES,
     GENDERS,
     ICD10_NAMES,
+    ICD_CODES,
     LOINC_NAMES,
     QUALITY_WEIGHTS,
 )
-from bundlelake.sources.retail import ICD_CODES
 
 RUN_AT = "2024-02-01T00:00:00+00:00"
 DAY = "2024-02-01"

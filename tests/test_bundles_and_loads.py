@@ -62,6 +62,13 @@ def test_report_and_limit(spark, landing):
     assert B.explode_resources(limited, AT).count() == 2 + 4 + 4
 
 
+def test_a_bundle_is_parsed_once(spark, landing):
+    parsed = B.parse_bundles(B.read_documents(spark, landing))
+    for found in (B.explode_resources(parsed, AT), B.rejected(parsed), B.ingestion_report(parsed)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") + plan.count("JsonToStructs") == 1
+
+
 def test_lines_equal_documents(spark, landing, tmp_path):
     docs = B.read_documents(spark, landing).filter("trim(value) NOT IN ('', '\n')")
     one_line = [" ".join(r.value.split()) for r in docs.collect()]
