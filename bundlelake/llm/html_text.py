@@ -1,8 +1,8 @@
 """Main text of web pages by consensus of each host's pages.
 
-Every page's containers are scored by the text they hold outside links and page furniture. Each
+Each page's text outside links and page furniture leads to the innermost container of it all. Each
 page votes for the path of its best container (tags and classes from the root, digits generalised),
-the votes are counted per host, and all pages of the host are extracted again from the container at
+the votes are counted per host, and all pages of the host are extracted again from the containers at
 the winning path; a page without it uses its own best one.
 """
 
@@ -28,6 +28,7 @@ BLOCKS = frozenset(
     " tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = frozenset("html body main article section div td center".split())
+NAMED = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag on the left ends an open element on the right.
 ENDS = {
@@ -52,6 +53,11 @@ _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
+_SENTENCE = re.compile(r"[.!?\u2026\u3002\uff01\uff1f][\"'\u201d\u2019\u00bb)]*(?:\s|$)")
+
+#: Containers beside an inner one that hold no heading, no sentence and at most this share of the
+#: outer one's good text do not keep a page from voting for the inner one.
+SCRAP = 0.02
 
 
 class Element:
@@ -142,29 +148,66 @@ def _open(node: Element | None, tags: set[str], until: frozenset[str] = frozense
 
 
 def best(elements: list[Element], pieces: list[tuple[Element, str | None]]) -> Element:
-    """The innermost container with most of the page's good text.
+    """The innermost container that leaves none of the page's good text out.
 
-    Good text is outside links and furniture. Where an article or main element holds any, others do
-    not count.
+    Good text is outside links and furniture. From the root, a container is left for one inside it
+    only while all its good text lies in containers inside it, headings included; other containers
+    beside the inner one may hold a scrap (``SCRAP``). Where article or main elements hold any, the
+    way leads to the container of them all, and text in containers beside does not count.
     """
+    root = elements[0]
     for element, piece in pieces:
         if piece and not element.furniture and not element.in_link and (n := len(piece.strip())):
             while element is not None:
                 element.good += n
                 element = element.parent
-    named = [e for e in elements if e.tag in ("article", "main") and e.good and not e.furniture]
-    pool = named or [e for e in elements if e.tag in CONTAINERS and not e.furniture] or elements[:1]
-    most = max(e.good for e in pool)
-    found = [e for e in pool if e.good >= 0.75 * most]
-    return max(found, key=lambda e: (e.path.count("/"), e.good))
+    inner: dict[Element, list[Element]] = {}
+    holding: set[Element] = set()
+    for e in elements[1:]:
+        if e.tag in CONTAINERS and e.good and not e.furniture:
+            up = e.parent
+            while up is not root and up.tag not in CONTAINERS:
+                up = up.parent
+            inner.setdefault(up, []).append(e)
+            if e.tag in NAMED and not e.parent.in_article:
+                while e is not None and e not in holding:
+                    holding.add(e)
+                    e = e.parent
+    here = chosen = root
+    while nested := inner.get(here):
+        if here.good > sum(e.good for e in nested):
+            break
+        most = max(nested, key=lambda e: e.good)
+        if holding and not here.in_article:
+            named = [e for e in nested if e in holding]
+            if len(named) > 1:
+                break
+            here = named[0]
+        elif most.good == here.good or (not holding and _scraps([e for e in nested if e is not most], here, pieces)):
+            here = most
+        else:
+            break
+        if not here.in_article or here.tag in NAMED:
+            chosen = here
+    return chosen
+
+
+def _scraps(others: list[Element], outer: Element, pieces: list[tuple[Element, str | None]]) -> bool:
+    """Whether the containers hold a scrap of the outer one's text, without a heading or a sentence."""
+    if sum(e.good for e in others) > SCRAP * outer.good:
+        return False
+    told = (e for e, t in pieces if t and not e.furniture and not e.in_link and (_SENTENCE.search(t) or _open(e, HEADINGS)))
+    return not any(_within(e, others) for e in told)
 
 
 def extract(page: str, path: str | None = None) -> str:
-    """The page's main text: blocks in order, two line ends between them."""
+    """The page's main text: blocks in order, two line ends between them.
+
+    All elements at the path count; without one, the page's own best container.
+    """
     elements, pieces = parse(page)
-    chosen = best(elements, pieces)
-    if path is not None and (same := [e for e in elements if e.path == path and not e.furniture and e.good]):
-        chosen = max(same, key=lambda e: e.good)
+    own = best(elements, pieces)
+    chosen = [e for e in elements if e.path == path and not e.furniture and e.good] or [own]
     blocks, current = [], []
     for element, piece in pieces:
         if piece is None:
@@ -176,9 +219,9 @@ def extract(page: str, path: str | None = None) -> str:
     return "\n\n".join(t for b in blocks if (t := _SPACE.sub(" ", b).strip()))
 
 
-def _within(element: Element | None, chosen: Element) -> bool:
+def _within(element: Element | None, chosen: list[Element]) -> bool:
     while element is not None:
-        if element is chosen:
+        if element in chosen:
             return True
         element = element.parent
     return False

@@ -285,6 +285,29 @@ def test_pages_follow_their_host(spark):
     assert html_text.main_text(pages.where("false")).count() == 0
 
 
+def test_page_text_is_whole():
+    body = "<p>" + "Long text of the body. " * 20 + "</p>"
+    text = ("Long text of the body. " * 20).strip()
+    for page in (
+        f"<div id=content><h1>Title</h1><p>Lead</p><div class=body>{body}</div><p>End</p></div>",
+        f"<p>Title</p><div><div><p>Lead</div><div>{body}<p>End</div></div>",
+        f"<div><nav>Menu</nav><div class=intro><h2>Title</h2><p>Lead</p></div><div class=body>{body}</div><div><h2>End</h2></div></div>",
+        f"<main><h1>Title</h1><article><p>Lead</p>{body}<p>End</article></main><div>Side</div>",
+        f"<main><article><p>Title<p>Lead</article><article class=b>{body}</article><p>End</main>",
+        f"<body><article><p>Title</p><p>Lead</article><article>{body}<p>End</article><aside>Side</aside></body>",
+    ):
+        assert html_text.extract(page) == f"Title\n\nLead\n\n{text}\n\nEnd"
+        assert html_text.extract(page, "/no/such") == html_text.extract(page)
+
+
+def test_all_containers_at_a_host_path(spark):
+    page = "<body><div class=top>a b</div><article><p>One</p></article><article><p>Two is longer</p></article></body>"
+    rows = [(k, "http://a.example/x", f"<body><article><p>Story {k}</p></article></body>") for k in range(3)]
+    pages = spark.createDataFrame([*rows, (9, "http://a.example/y", page)], "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_text.main_text(pages).collect()}
+    assert found == {0: "Story 0", 1: "Story 1", 2: "Story 2", 9: "One\n\nTwo is longer"}
+
+
 def test_page_query(spark):
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
     for r in queries.op10_html_text(spark, DATA).collect():
