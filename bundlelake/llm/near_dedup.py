@@ -3,7 +3,9 @@
 A document is a bag of five-word shingles with TF-IDF weights. Improved consistent weighted sampling
 draws shingles such that two documents draw the same one with a probability equal to their
 weighted Jaccard similarity; bands of draws bring candidates together, and the similarity itself
-is computed for every candidate pair that is compared.
+is computed for every candidate pair that is compared. Document frequencies are exact in it: those of
+common shingles are sent to every task, the others are joined to the candidates. Draws are made before that
+join, with the weight of a shingle of one document for all that are not common.
 
 Exact copies are folded first, so a group of copies costs one row per document. In a bucket every
 document is compared with one pivot, the member that meets most others over all its buckets (the
@@ -16,6 +18,7 @@ component, without pairing up the members of a large group of copies.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +33,9 @@ from bundlelake.llm.grams import WordHashes, rolling, split, starts
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at the threshold shares no band of draws with probability (1 - 0.8**4)**14 = 0.0006.
 BANDS, DRAWS = 14, 4
-#: Document frequencies are counted per hash bucket of shingles, so their table has a fixed size.
-BUCKETS = 1 << 16
+#: Shingles in at least this share of all documents are sent to every task with their document
+#: frequencies: at most the mean number of shingles of a document divided by the share.
+COMMON_SHARE = 1 / 1024
 #: Weight of a shingle: (1 + ln tf) * (1 + IDF_SHARE * idf / ln N). The share is small because
 #: copies make their shingles frequent: with the full idf the few changed words of a copy would
 #: outweigh the many that it shares with a large group.
@@ -64,25 +68,37 @@ def _bags(keys, owner):
     return keys[first], owner[first], np.diff(np.r_[first, len(keys)])
 
 
-def frequencies(source: DataFrame) -> tuple[int, np.ndarray]:
-    """Number of documents with words, and per shingle bucket the number that have it, over all."""
+class Counts:
+    """Document frequencies of some shingles."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.counts = keys[order], counts[order]
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The frequencies; 0 for other shingles."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.counts[at], 0)
+
+
+def frequencies(source: DataFrame) -> tuple[int, DataFrame]:
+    """Number of documents with words, and ``shingle, n``: how many have it, for all that several have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), np.zeros(BUCKETS + 1, np.int64)
+        hashes, documents = WordHashes(), 0
         for batch in slices(batches, "text", SLICE_BYTES):
-            keys, owner = shingles(split(batch.column("text")), hashes)
-            mixed = np.unique(owner.astype(np.uint64) << np.uint64(16) | (keys & np.uint64(BUCKETS - 1)))
-            counts[:BUCKETS] += np.bincount((mixed & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-            counts[BUCKETS] += len(np.unique(owner))
-        used = np.flatnonzero(counts)
-        yield pa.record_batch([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
+            keys, owner, _ = _bags(*shingles(split(batch.column("text")), hashes))
+            documents += len(np.unique(owner))
+            keys, n = np.unique(keys, return_counts=True)
+            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"])
+        yield pa.record_batch([pa.array([None], pa.int64()), pa.array([documents], pa.int64())], names=["shingle", "n"])
 
-    # a row per bucket, whatever the input
-    rows = source.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n")).collect()
-    counts = np.zeros(BUCKETS + 1, np.int64)
-    for bucket, n in rows:
-        counts[bucket] = n
-    return int(counts[BUCKETS]), counts[:BUCKETS]
+    counted = source.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counted = stored(counted.where("n > 1 OR shingle IS NULL"), "frequencies")
+    documents = counted.where("shingle IS NULL").agg(F.sum("n")).first()[0] or 0
+    return documents, counted.where("shingle IS NOT NULL")
 
 
 def idf_weights(documents: int, counts: np.ndarray, share: float = IDF_SHARE) -> np.ndarray:
@@ -122,11 +138,13 @@ def draw(keys: np.ndarray, weights: np.ndarray, first: np.ndarray, times: int) -
     return out
 
 
-def _weights(keys, counts, idf):
-    return (1 + np.log(counts)) * idf[(keys & np.uint64(BUCKETS - 1)).astype(np.int64)]
+def _weights(counts, found, documents):
+    return (1 + np.log(counts)) * idf_weights(documents, np.maximum(found, 1))
+
 
+def _signatures(common, documents, bands, draws):
+    """Draws by the weights that tasks know: a shingle that is not common counts as in one document."""
 
-def _signatures(idf, bands, draws):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches, "text", SLICE_BYTES):
@@ -137,7 +155,7 @@ def _signatures(idf, bands, draws):
             texts = [texts[k] for k in real]
             keys, owner, counts = _bags(*shingles(texts, hashes))
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            weights = _weights(keys, counts, idf.value)
+            weights = _weights(counts, common.value.of(keys), documents)
             drawn = draw(keys, weights, first, bands * draws)
             names = np.empty((len(texts), bands), np.uint64)
             for b in range(bands):
@@ -160,30 +178,67 @@ def _signatures(idf, bands, draws):
     return run
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted 32-bit shingle hashes, repeats included: enough to tell a text's shingles apart."""
-    hashes = WordHashes()
-    for batch in slices(batches, "text", SLICE_BYTES):
-        keys, owner = shingles(split(batch.column("text")), hashes)
-        order = np.lexsort(((keys & np.uint64(0xFFFFFFFF)), owner))
-        keys, owner = (keys[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), owner[order]
-        cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-        bags = [keys[a:z].tobytes() for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
-        yield pa.record_batch([batch.column("doc"), pa.array(bags, pa.binary())], names=["doc", "bag"])
+def _uncommon(common):
+    """``doc, shingle`` for the shingles whose frequencies tasks do not know."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in slices(batches, "text", SLICE_BYTES):
+            keys, owner, _ = _bags(*shingles(split(batch.column("text")), hashes))
+            open_ = common.value.of(keys) == 0
+            docs = batch.column("doc").take(pa.array(owner[open_], pa.int64()))
+            yield pa.record_batch([docs, pa.array(keys[open_].view(np.int64))], names=["doc", "shingle"])
+
+    return run
 
 
-def _bag(data: bytes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = np.unique(np.frombuffer(data, np.uint32), return_counts=True)
-    return keys, (1 + np.log(counts)) * idf[keys & np.uint32(BUCKETS - 1)]
+def _features(common):
+    """Every text's shingles as sorted 32-bit hashes, enough to tell them apart, with the numbers of
+    documents and of places that have them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, low = WordHashes(), np.uint64(0xFFFFFFFF)
+        for batch in slices(batches, "text", SLICE_BYTES):
+            keys, owner, counts = _bags(*shingles(split(batch.column("text")), hashes))
+            listed = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("shingles", "ns")]
+            rest = Counts(listed[0].astype(np.int64).view(np.uint64), listed[1].astype(np.int64))
+            found = np.maximum(np.maximum(common.value.of(keys), rest.of(keys)), 1)
+            order = np.lexsort((keys & low, owner))
+            keys, owner, counts, found = (keys & low)[order], owner[order], counts[order], found[order]
+            first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])][: len(keys)])
+            if len(first):
+                counts, found = np.add.reduceat(counts, first), np.maximum.reduceat(found, first)
+            rows = np.array([keys[first], found, counts]).astype(np.uint32)
+            cuts = np.searchsorted(owner[first], np.arange(batch.num_rows + 1))
+            bags = [rows[:, a:z].tobytes() for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.record_batch([batch.column("doc"), pa.array(bags, pa.binary())], names=["doc", "bag"])
+
+    return run
+
+
+def _bag(data: bytes, documents: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles, their weights and document frequencies."""
+    keys, found, counts = np.frombuffer(data, np.uint32).reshape(3, -1)
+    return keys, _weights(counts, found.astype(np.int64), documents), found
+
+
+def bags(source: DataFrame, counted: DataFrame, common, least: int) -> DataFrame:
+    """``doc, bag`` of texts with distinct keys; frequencies under ``least`` are joined by shuffling."""
+    rest = (
+        source.mapInArrow(_uncommon(common), "doc long, shingle long").join(counted.where(F.col("n") < least), "shingle")
+        .groupBy("doc").agg(F.collect_list(F.struct("shingle", "n")).alias("rest"))
+        .select("doc", F.col("rest.shingle").alias("shingles"), F.col("rest.n").alias("ns"))
+    )
+    return source.join(rest, "doc", "left").mapInArrow(_features(common), "doc long, bag binary")
 
 
-def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+def weighted_jaccard(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> float:
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     least = float(np.minimum(a[1][i], b[1][j]).sum())
     return least / (float(a[1].sum() + b[1].sum()) - least)
 
 
-def _rare_shingles(features: DataFrame, idf, similarity: float) -> DataFrame:
+def _rare_shingles(features: DataFrame, documents: int, similarity: float) -> DataFrame:
     """``shingle, rep, weight, rest`` for each text's rarest shingles: prefix filtering.
 
     All texts order their shingles alike, rare ones first. If two texts are similar enough, the
@@ -194,8 +249,8 @@ def _rare_shingles(features: DataFrame, idf, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, bag in zip(batch.column("doc").to_pylist(), batch.column("bag").to_pylist(), strict=True):
-                keys, weights = _bag(bag, idf.value)
-                order = np.lexsort((keys, -idf.value[keys & np.uint32(BUCKETS - 1)]))
+                keys, weights, found = _bag(bag, documents)
+                order = np.lexsort((keys, found))
                 keys, weights = keys[order], weights[order]
                 before = np.cumsum(weights) - weights
                 total = float(weights.sum())
@@ -211,7 +266,7 @@ def _rare_shingles(features: DataFrame, idf, similarity: float) -> DataFrame:
     return features.mapInArrow(run, "shingle int, rep long, weight double, rest double")
 
 
-def _verified(pairs: DataFrame, features: DataFrame, idf, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, features: DataFrame, documents: int, similarity: float) -> DataFrame:
     """The pairs ``a, b`` whose texts are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,8 +277,8 @@ def _verified(pairs: DataFrame, features: DataFrame, idf, similarity: float) ->
             keep = []
             for k in range(batch.num_rows):
                 if a[k] != last:
-                    last, left = a[k], _bag(bags_a[k].as_py(), idf.value)
-                if weighted_jaccard(left, _bag(bags_b[k].as_py(), idf.value)) >= similarity:
+                    last, left = a[k], _bag(bags_a[k].as_py(), documents)
+                if weighted_jaccard(left, _bag(bags_b[k].as_py(), documents)) >= similarity:
                     keep.append(k)
             yield pa.record_batch([pa.array([a[k] for k in keep], pa.int64()), pa.array([b[k] for k in keep], pa.int64())], names=["a", "b"])
 
@@ -282,9 +337,15 @@ def classes(
     source = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("binary").alias("text")).where(
         "doc IS NOT NULL AND length(text) > 0"
     )
-    idf = spark.sparkContext.broadcast(idf_weights(*frequencies(source)))
+    n_documents, counted = frequencies(source)
+    least_common = max(2, math.ceil(COMMON_SHARE * n_documents))
+    many = counted.where(F.col("n") >= least_common).toArrow()
+    common = spark.sparkContext.broadcast(Counts(many["shingle"].to_numpy().view(np.uint64), many["n"].to_numpy()))
+    # a shingle that tasks do not know weighs at most this much less than they assume
+    lowest, highest = idf_weights(n_documents, np.array([least_common - 1, 1]))
+    like_weight = similarity * float(lowest / highest)
     drawn = stored(
-        source.mapInArrow(_signatures(idf, bands, draws), "doc long, digest binary, weight double, buckets array<bigint>"),
+        source.mapInArrow(_signatures(common, n_documents, bands, draws), "doc long, digest binary, weight double, buckets array<bigint>"),
         "signatures",
     )
     least = drawn.groupBy("digest").agg(F.min("doc").alias("rep"))
@@ -299,16 +360,15 @@ def classes(
     shared = shared.join(central, "rep")
     pivots = shared.groupBy("bucket").agg(F.max(F.struct("centre", -F.col("rep"), "rep", "weight")).alias("pivot"))
     shared = stored(shared.join(pivots, "bucket").drop("n", "centre"), "pivots")
-    features = stored(
-        source.join(shared.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
-        .dropDuplicates(["doc"]).mapInArrow(_features, "doc long, bag binary"),
-        "features",
+    candidates = stored(
+        source.join(shared.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi").dropDuplicates(["doc"]), "candidates"
     )
-    first = shared.where((F.col("rep") != F.col("pivot.rep")) & _near(F.col("weight"), F.col("pivot.weight"), similarity)).select(
+    features = stored(bags(candidates, counted, common, least_common), "features")
+    first = shared.where((F.col("rep") != F.col("pivot.rep")) & _near(F.col("weight"), F.col("pivot.weight"), like_weight)).select(
         F.col("pivot.rep").alias("a"), F.col("rep").alias("b")
     ).distinct()
     first = stored(first, "first-pairs")
-    links = stored(_verified(first, features, idf, similarity), "links")
+    links = stored(_verified(first, features, n_documents, similarity), "links")
     found = components(links)
 
     grouped = shared.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
@@ -321,7 +381,7 @@ def classes(
         .where("parts > 1").select("bucket", F.col("main.component").alias("main"))
     )
     open_ = grouped.join(main, "bucket").select("rep", "component").distinct()
-    rare = _rare_shingles(features.join(open_.select(F.col("rep").alias("doc")), "doc", "left_semi"), idf, similarity)
+    rare = _rare_shingles(features.join(open_.select(F.col("rep").alias("doc")), "doc", "left_semi"), n_documents, similarity)
     rare = stored(rare.join(open_, "rep"), "rare")
     other = rare.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("rep", "component", "weight", "rest")])
     # with this shingle the first in common, the pair has the lesser rest in common at most
@@ -334,7 +394,7 @@ def classes(
         .distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    links = links.unionAll(_verified(second, features, idf, similarity))
+    links = links.unionAll(_verified(second, features, n_documents, similarity))
     found = components(links)
     named = members.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         F.col("doc").alias("_doc"), F.coalesce("component", "rep").alias("class_id")

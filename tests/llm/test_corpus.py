@@ -119,6 +119,35 @@ def test_near_duplicates_against_brute_force(spark):
     assert all(root(k) == root(c) for k, c in found.items())
 
 
+def test_document_frequencies_are_exact(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(1000))) for k in range(200)]
+    rows += [(200 + k, f"{rows[k % 7][1]} x{k} y{k} again again again again again again again") for k in range(30)]
+    source = frame(spark, rows).select(F.col("doc_id").alias("doc"), F.col("text").cast("binary").alias("text"))
+    n, counted = near_dedup.frequencies(source)
+    having = Counter(g for _, t in rows for g in shingles(t))
+    assert n == len(rows)  # 200,000 shingles: hash buckets would be shared by several
+    assert Counter(r["n"] for r in counted.collect()) == Counter(c for c in having.values() if c > 1)
+    for least in (2, 6, 1000):  # all sent to tasks, some, none
+        many = counted.where(F.col("n") >= least).toArrow()
+        counts = near_dedup.Counts(many["shingle"].to_numpy().view(np.uint64), many["n"].to_numpy())
+        common = spark.sparkContext.broadcast(counts)
+        bags = {r["doc"]: r["bag"] for r in near_dedup.bags(source, counted, common, least).collect()}
+        for k, t in rows:
+            _, weights, found = near_dedup._bag(bags[k], n)
+            places = Counter(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4))
+            assert Counter(found.tolist()) == Counter(having[g] for g in places)
+            exact = [(1 + np.log(c)) * (1 + 0.25 * np.log((1 + n) / (1 + having[g])) / np.log(2 + n)) for g, c in places.items()]
+            assert np.allclose(np.sort(weights), np.sort(exact))
+
+
+def test_near_duplicates_with_joined_frequencies(spark, monkeypatch):
+    documents = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    sent = sorted(tuple(r) for r in near_dedup.classes(documents).collect())
+    monkeypatch.setattr(near_dedup, "COMMON_SHARE", 0.5)
+    assert sorted(tuple(r) for r in near_dedup.classes(documents).collect()) == sent
+
+
 def test_components_of_chains(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, 101), (101, 100), (7, 7)]
     found = {r[0]: r[1] for r in near_dedup.components(frame(spark, edges, "a long, b long")).collect()}
