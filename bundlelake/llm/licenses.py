@@ -8,9 +8,11 @@ a document's units are made, joined and pre-aggregated in the task that reads it
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from operator import or_
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +83,94 @@ LICENSES: Mapping[str, Sequence[str]] = {
     "all-rights-reserved": ("All rights reserved.",),
 }
 
+#: Whole licence texts, one file each, named by identifier.
+WHOLE_TEXTS = Path(__file__).with_name("licence_texts")
+
+#: What a notice says before the licence's name.
+_THINGS = ("work", "project", "software", "program", "code", "file", "library")
+_VERBS = ("licensed under", "released under", "distributed under", "available under")
+CARRIERS = (
+    *(f"{s}{v} " for s in ("", *(f"This {t} is " for t in _THINGS)) for v in _VERBS),
+    "License: ", "SPDX-License-Identifier: ",
+)
+#: Licences by full names, short names and version; an empty version for none.
+_NAMED = (
+    ("MIT", ("MIT License", "Expat License"), ("MIT",), ""),
+    ("ISC", ("ISC License",), ("ISC",), ""),
+    ("0BSD", ("BSD Zero Clause License", "Zero-Clause BSD License", "0BSD License"), ("0BSD",), ""),
+    ("BSD-2-Clause", ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"), ("BSD-2-Clause",), ""),
+    ("BSD-3-Clause", ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License"), ("BSD-3-Clause",), ""),
+    ("Unlicense", ("Unlicense",), ("Unlicense",), ""),
+    ("Apache-2.0", ("Apache License", "Apache Software License"), ("Apache",), "2.0"),
+    ("MPL-1.1", ("Mozilla Public License",), ("MPL",), "1.1"),
+    ("MPL-2.0", ("Mozilla Public License",), ("MPL",), "2.0"),
+    *(
+        (f"{short}-{v}", (f"GNU {long}", f"GNU {short}"), (short,), v)
+        for short, long, versions in (
+            ("GPL", "General Public License", ("1.0", "2.0", "3.0")),
+            ("LGPL", "Lesser General Public License", ("2.1", "3.0")),
+            ("LGPL", "Library General Public License", ("2.0",)),
+            ("AGPL", "Affero General Public License", ("3.0",)),
+        )
+        for v in versions
+    ),
+    *(
+        (f"CC-{c}-4.0", (f"Creative Commons {n}",), (f"CC {c}",), "4.0")
+        for c, n in (
+            ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+            ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+    ),
+    ("CC0-1.0", ("Creative Commons Zero", "Creative Commons CC0"), ("CC0",), "1.0"),
+)
+
+
+def _names(longs: Sequence[str], shorts: Sequence[str], version: str, kinds: Sequence[str]) -> set[str]:
+    """Spellings of a licence's name; punctuation and case do not matter."""
+    if not version:
+        return {*longs, *shorts, *(f"the {x}" for x in longs), *(f"{t}{x} License" for x in shorts for t in ("", "the "))}
+    out = set()
+    for v in {version, version if version == "4.0" else version.removesuffix(".0")}:
+        for name in (*longs, *shorts):
+            plain = {f"{name} {w}{v}" for w in ("", "v", "version ", *(("v ",) if "Mozilla" in name else ()))}
+            named = plain | {f"{x} {kind}" for x in plain for kind in kinds if name in shorts or kind != "License" or "Creative" in name}
+            out |= named | {f"the {x}" for x in named} | {f"version {v} of the {name}"}
+    return out
+
+
+def notices() -> Iterator[tuple[str, str]]:
+    """``license_id, license_text`` of one-line notices: each carrier phrase with each name."""
+    for license_id, longs, shorts, version in _NAMED:
+        gnu = license_id.partition("-")[0] in ("GPL", "LGPL", "AGPL")
+        kinds = ("License", "International", "International License") if version == "4.0" else ("License",)
+        ends = {"": ("", ' (the "License")')}
+        if gnu:
+            kinds, ends = (), {"-only": ("", " only"), "-or-later": (" or later", " or any later version")}
+        elif license_id.startswith("CC"):
+            ends = {"": ("",)}
+            kinds = ("Universal", *kinds) if license_id == "CC0-1.0" else kinds
+        for name in sorted(_names(longs, shorts, version, kinds)):
+            for kind, many in ends.items():
+                for end in many:
+                    for carrier in CARRIERS:
+                        yield license_id + kind, f"{carrier}{name}{end}"
+                        if carrier.endswith("under ") and name.startswith(("the ", "version ")):
+                            yield license_id + kind, f"{carrier}the terms of {name}{end}"
+
+
+def whole_texts() -> Iterator[tuple[str, str]]:
+    """``license_id, license_text`` of whole texts, also without what follows their terms."""
+    for path in sorted(WHOLE_TEXTS.glob("*.txt")):
+        text = path.read_text("utf-8")
+        yield path.stem, text
+        yield path.stem, re.sub(r"\n[^\n]*\[yyyy\][^\n]*", "", text)  # the line is filled in or left
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        if end:
+            yield path.stem, terms
+            yield path.stem, terms + end
+
+
 #: Word beginnings that count as equal, as pattern and replacement, after
 #: punctuation has gone. A leading blank, line end or text start stands before each.
 SPELLINGS = (
@@ -139,6 +229,8 @@ def known_licenses(
 ) -> DataFrame:
     """``license_id, license_text`` rows for :func:`scan`; the built-in set by default."""
     rows = [(k, t) for k, many in (LICENSES if texts is None else texts).items() for t in many]
+    if texts is None:
+        rows += [*whole_texts(), *notices()]
     return spark.createDataFrame(rows, "license_id string, license_text string")
 
 

@@ -50,6 +50,31 @@ def test_licence_forms(spark):
     assert by_id[7]["text_digest"] is None and by_id[5]["notices"] == ""
 
 
+def test_whole_licences_and_phrases(spark):
+    whole = {p.stem: p.read_text("utf-8") for p in licenses.WHOLE_TEXTS.glob("*.txt")}
+    for wanted in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-3.0-only", "CC0-1.0"):
+        assert wanted in whole
+    apache = whole["Apache-2.0"].replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2021 Somebody")
+    texts = [*whole.items(), ("Apache-2.0", apache), ("Apache-2.0", whole["Apache-2.0"].partition("APPENDIX")[0])]
+    texts += [("BSD-3-Clause", "Copyright (c) 2019, Somebody\n\n" + whole["BSD-3-Clause"].upper())]
+    found = licenses.scan(frame(spark, [(k, t) for k, (_, t) in enumerate(texts)]), licenses.known_licenses(spark))
+    assert {r["doc_id"]: r["license_id"] for r in found.collect()} == {k: n for k, (n, _) in enumerate(texts)}
+    lines = {
+        "Released under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "This work is licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Released under the GNU General Public License, version 3.": "GPL-3.0-only",
+        "Licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0-only",
+        "This program is distributed under the terms of the GNU GPL v2 or later": "GPL-2.0-or-later",
+        "This work is licensed under a licence of our own, version 3.": "",
+        "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "Licensed under the BSD 2-Clause License": "BSD-2-Clause", "Released under the Unlicense": "Unlicense",
+        "SPDX-License-Identifier: AGPL-3.0-or-later": "AGPL-3.0-or-later",
+    }
+    found = licenses.scan(frame(spark, [(k, f"A\n{t}\nb") for k, t in enumerate(lines)]), licenses.known_licenses(spark))
+    assert [r["notices"] for r in sorted(found.collect())] == list(lines.values())
+    assert licenses.known_licenses(spark).count() <= licenses.BROADCAST_ROWS
+
+
 def test_licence_scan_without_known_or_documents(spark):
     nothing = frame(spark, [])
     assert licenses.scan(nothing, licenses.known_licenses(spark)).count() == 0
