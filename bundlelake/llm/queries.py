@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bundlelake.llm import (
+    byte_bpe,
+    conversations,
     decontamination,
     html_text,
     licenses,
@@ -18,6 +20,7 @@ from bundlelake.llm import (
     substring_dedup,
     token_files,
     toxicity,
+    variants,
 )
 from bundlelake.llm.common import table
 from bundlelake.session import scratch
@@ -103,6 +106,58 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.count_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return variants.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = byte_bpe.encode(documents, vocabulary, public_tokenizers.PATTERN).drop("text")
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return byte_bpe.decode(encoded, vocabulary).select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """Conversations with a known damage, chosen by the hash of each row's place."""
+    def shown(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    damage = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    text = (
+        F.when(damage == 1, "").when(damage == 2, F.regexp_replace(shown("text"), "[.!?]", "")).otherwise(shown("text"))
+    )
+    role = F.when(damage == 4, "user").otherwise(shown("role"))
+    copies = F.when(damage == 0, 0).when(damage == 3, 2).otherwise(1)
+    return rows.select(
+        "conv_id", "turn", role.alias("role"), text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found, lines = conversations.repair(damaged_conversations(rows))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    every = rows.select("conv_id").distinct().withColumn("key", conversations.key_of("conv_id"))
+    return (
+        every.join(found.drop("conv_id"), "key", "left").join(conversations.digests(lines), "key", "left").select(
+            "conv_id",
+            *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -117,5 +172,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_benchmark_decontamination,
             op9_near_dedup,
             op10_html_text,
+            op11_spelling_variants,
+            op12_byte_bpe,
+            op13_conversation_repair,
         )
     }
