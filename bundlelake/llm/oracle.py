@@ -1,8 +1,9 @@
 """DuckDB SQL for the operators that SQL can express.
 
 Written from the definitions of the results and sharing no code with the operators. The source mix,
-near-duplicates, token ids, toxicity, page text and the placement table are random, iterative or
-need a library, so they have none; tests hold them against brute force.
+near-duplicates, token ids of either kind, toxicity, page text, repaired conversations and the
+placement table are random, iterative or need a library, so they have none; tests hold them against
+brute force. The licence scan and the quality rules have none yet.
 """
 
 from __future__ import annotations
@@ -69,5 +70,62 @@ FROM d LEFT JOIN items USING (doc_id) LEFT JOIN hits USING (doc_id)
 """
 
 
+# CRC-32 bit by bit over a table of 256 entries that the second query makes by rule.
+VARIANTS = r"""
+WITH RECURSIVE
+bits(k, v, step) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL
+  SELECT k, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, step + 1 FROM bits WHERE step < 8
+),
+entries AS (SELECT list(v ORDER BY k) AS t FROM bits WHERE step = 8),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{7,}')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+),
+counted AS (SELECT doc_id, run, count(*) AS c FROM runs GROUP BY ALL),
+coded AS (
+  SELECT run, c, list_prepend(4294967295, list_transform(range(1, strlen(s) + 1),
+    lambda i: CAST('0x' || hex(s)[2 * i - 1:2 * i] AS BIGINT))) AS codes
+  FROM (SELECT *, doc_id || ':' || run AS s FROM counted)
+),
+hashed AS (
+  SELECT run, c, xor(list_reduce(codes, lambda h, b: xor(h // 256, t[1 + xor(h % 256, b)])), 4294967295) AS h
+  FROM coded, entries
+),
+words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+    SELECT c, CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed
+  ) WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2
+),
+holes AS (
+  SELECT word, n, word[:i - 1] AS head, word[i + 1:] AS tail
+  FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+pairs AS (
+  SELECT a.word AS word, a.n AS n, b.word AS other, b.n AS other_n
+  FROM holes a JOIN holes b ON a.head = b.head AND a.tail = b.tail WHERE a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM holes a JOIN words b ON a.head || a.tail = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM holes a JOIN words b ON a.head || a.tail = b.word
+),
+near AS (SELECT word, n, count(*) AS n_near FROM pairs GROUP BY word, n),
+best AS (
+  SELECT word, other AS form, other_n AS form_n FROM pairs WHERE other_n >= 10 * n
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1
+),
+chain(word, root) AS (
+  SELECT word, form FROM best
+  UNION ALL SELECT chain.word, best.form FROM chain JOIN best ON best.word = chain.root
+),
+roots AS (SELECT word, root FROM chain WHERE root NOT IN (SELECT word FROM best))
+SELECT w.word, form, coalesce(root, w.word) AS root, w.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, form_n
+FROM words w LEFT JOIN near USING (word) LEFT JOIN best USING (word) LEFT JOIN roots USING (word)
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_substring_dedup": SUBSTRING_DEDUP, "op8_benchmark_decontamination": DECONTAMINATION}
+    return {
+        "op2_substring_dedup": SUBSTRING_DEDUP,
+        "op8_benchmark_decontamination": DECONTAMINATION,
+        "op11_spelling_variants": VARIANTS,
+    }
