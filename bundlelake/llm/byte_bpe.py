@@ -28,9 +28,11 @@ from pyspark.sql import types as T
 from bundlelake.llm.common import slices
 
 #: Pre-tokens whose ids a Python worker remembers, and the longest that it remembers.
-CACHE_PIECES, CACHE_CHARS = 200_000, 64
+CACHE_PIECES, CACHE_CHARS = 100_000, 64
 #: Pre-tokens of one text that are held at a time.
 HELD_PIECES = 500_000
+#: Text encoded at a time and ids decoded at a time, one row at least.
+HELD_BYTES, HELD_IDS = 1 << 20, 1 << 18
 #: The letter of byte 0; the letters of the others follow it. None of the 256 is white space.
 _FIRST_LETTER = 0x100
 _LETTERS = {b: chr(_FIRST_LETTER + b) for b in range(256)}
@@ -145,13 +147,11 @@ def _pieces(path: str) -> PieceIds:
 
 @functools.lru_cache(maxsize=1)
 def _tokens(path: str) -> list[bytes]:
-    """Bytes of each id, read back from the letters of the model's pieces."""
+    """Bytes of each id: the vocabulary turned round."""
     ranks = read_ranks(path)
-    encoder = PieceIds(ranks)
     table = [_MISSING] * (max(ranks.values()) + 1)
-    for piece, rank in enumerate(encoder.rank.tolist()):
-        shown = encoder.encoder.id_to_piece(piece)
-        table[rank] = bytes(ord(c) - _FIRST_LETTER for c in shown)
+    for token, rank in ranks.items():
+        table[rank] = token
     return table
 
 
@@ -193,7 +193,7 @@ def encode(
     def made(batches: Iterator[pa.RecordBatch], at: int):
         known, cut = _pieces(vocabulary), regex.compile(pattern)
         for batch in batches:
-            for rows in slices([batch], batch.schema.names[at]):
+            for rows in slices([batch], batch.schema.names[at], HELD_BYTES):
                 values, ends = [], [0]
                 texts = [t or "" for t in rows.column(at).to_pylist()]
                 short = [cut.findall(t) if len(t) < HELD_PIECES else None for t in texts]
@@ -225,21 +225,26 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "token_ids", out: str
         table = _tokens(vocabulary)
         size = len(table)
         for batch in batches:
-            found = []
-            for row in range(batch.num_rows):
-                value = batch.column(at)[row]
-                if not value.is_valid:
-                    found.append(None)
-                    continue
-                numbers = value.values
-                known = numbers.null_count == 0 and (
-                    not len(numbers) or 0 <= pa.compute.min(numbers).as_py() and pa.compute.max(numbers).as_py() < size
-                )
-                listed = numbers.to_pylist()
-                if not known:
-                    found.append(b"".join(table[i] if i is not None and 0 <= i < size else _MISSING for i in listed))
-                else:
-                    found.append(b"".join(map(table.__getitem__, listed)))
-            yield batch, pa.array(found, pa.binary())
+            lengths = pa.compute.fill_null(pa.compute.list_value_length(batch.column(at)), 0).to_numpy().cumsum()
+            first = 0
+            while first < batch.num_rows:
+                before = int(lengths[first - 1]) if first else 0
+                last = max(first + 1, int(lengths.searchsorted(before + HELD_IDS, "right")))
+                rows = batch.slice(first, last - first)
+                yield rows, pa.array([_bytes_of(v, table, size) for v in rows.column(at)], pa.binary())
+                first = last
 
     return _with_column(encoded, ids, out, T.BinaryType(), made)
+
+
+def _bytes_of(value: pa.ListScalar, table: list[bytes], size: int) -> bytes | None:
+    if not value.is_valid:
+        return None
+    numbers = value.values
+    listed = numbers.to_pylist()
+    if not listed:
+        return b""
+    least = pa.compute.min_max(numbers).as_py()
+    if numbers.null_count or least["min"] < 0 or least["max"] >= size:
+        return b"".join(table[i] if i is not None and 0 <= i < size else _MISSING for i in listed)
+    return b"".join(map(table.__getitem__, listed))
