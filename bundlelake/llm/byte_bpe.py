@@ -165,24 +165,20 @@ def _in_parts(text: str, cut: regex.Pattern) -> Iterator[list[str]]:
         yield part
 
 
-def _replaced(frame: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    kept = [f for f in frame.schema.fields if f.name.lower() != name.lower()]
-    return T.StructType([*kept, T.StructField(name, kind)])
-
-
 def _with_column(frame: DataFrame, source: str, name: str, kind: T.DataType, made: Callable) -> DataFrame:
     """``frame`` with a column that ``made`` computes from slices of the column ``source``."""
-    fields = [f.name for f in frame.schema.fields]
-    at = [f.lower() for f in fields].index(source.lower())
-    kept = [k for k, f in enumerate(fields) if f.lower() != name.lower()]
-    names = [*[fields[k] for k in kept], name]
+    fields = frame.schema.fields
+    at = [f.name.lower() for f in fields].index(source.lower())
+    kept = [k for k, f in enumerate(fields) if f.name.lower() != name.lower()]
+    # columns travel under plain names: Spark cannot send names with a dot to Python
+    plain = [f"c{k}" for k in range(len(fields))]
+    schema = T.StructType([*[T.StructField(plain[k], fields[k].dataType) for k in kept], T.StructField("made", kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in made(batches, at):
-            rows, column = batch
-            yield pa.RecordBatch.from_arrays([*[rows.column(k) for k in kept], column], names)
+        for rows, column in made(batches, at):
+            yield pa.RecordBatch.from_arrays([*[rows.column(k) for k in kept], column], schema.names)
 
-    return frame.mapInArrow(run, _replaced(frame, name, kind))
+    return frame.toDF(*plain).mapInArrow(run, schema).toDF(*[fields[k].name for k in kept], name)
 
 
 def encode(
