@@ -59,8 +59,9 @@ def identifier_value(identifiers: Column, keyword: str) -> Column:
 
 
 def number(text: Column) -> Column:
-    """Number or null; never an error."""
-    return text.try_cast("double")
+    """Finite number or null; never an error."""
+    value = text.try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)  # NaN counts as larger
 
 
 def starts_with_any(code: Column, prefixes: tuple[str, ...]) -> Column:

@@ -36,9 +36,24 @@ def hours_from_seconds(seconds: Column) -> Column:
     return F.when(seconds < 0, -rounded).otherwise(rounded)
 
 
+def summand(value: Column) -> tuple[Column, Column]:
+    """A double as a decimal, and as a double where no decimal of 22 whole digits holds it.
+
+    NaN and infinities are neither.
+    """
+    exact = value.try_cast("decimal(28,6)")
+    return exact, F.when(exact.isNull() & (F.abs(value) < float("inf")), value)
+
+
+def total(exact: Column, rest: Column) -> Column:
+    """Sums of both kinds of summands as one double (null if there is none)."""
+    return F.when(exact.isNotNull() | rest.isNotNull(), F.coalesce(exact.cast("double"), F.lit(0.0)) + F.coalesce(rest, F.lit(0.0)))
+
+
 def exact_sum(value: Column) -> Column:
-    """Order-independent sum of a double column, as a double (null if no value).
+    """Sum of a double column, as a double (null if no value).
 
-    Values that are no number of up to 22 whole digits count as missing.
+    What fits a decimal is added exactly, in any order; the rest is added as doubles.
     """
-    return F.sum(value.try_cast("decimal(28,6)")).cast("double")
+    exact, rest = summand(value)
+    return total(F.sum(exact), F.sum(rest))

@@ -173,13 +173,13 @@ _LAYOUTS: dict[str, Callable[[Column], Columns]] = {
 }
 
 
-def flatten(bronze: DataFrame, resource_type: str) -> DataFrame:
-    """The flat table of one resource type, with its lineage columns."""
+def flatten(bronze: DataFrame, resource_type: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """The flat table of one resource type, with its lineage columns and further ones of bronze."""
     if resource_type not in _LAYOUTS:
         raise ValueError(f"no flat layout for resource type {resource_type!r}")
     parsed = (
         bronze.filter(F.col("resource_type") == resource_type)
-        .select(F.from_json("raw_json", RESOURCE_JSON[resource_type]).alias("r"), *LINEAGE)
+        .select(F.from_json("raw_json", RESOURCE_JSON[resource_type]).alias("r"), *LINEAGE, *also)
         .withColumns(
             {name: wall_clock(F.col(path)) for name, path in _DATES[resource_type].items()}
         )
@@ -197,7 +197,7 @@ def flatten(bronze: DataFrame, resource_type: str) -> DataFrame:
             ),
         )
     columns = _LAYOUTS[resource_type](F.col("r"))
-    return parsed.select(*[value.alias(name) for name, value in columns.items()], *LINEAGE)
+    return parsed.select(*[value.alias(name) for name, value in columns.items()], *LINEAGE, *also)
 
 
 def flatten_all(bronze: DataFrame) -> dict[str, DataFrame]:

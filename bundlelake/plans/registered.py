@@ -14,13 +14,15 @@ from bundlelake.operators import quality as Q
 from bundlelake.operators import validation as V
 from bundlelake.operators import views as W
 from bundlelake.operators.bronze import copy_stats, latest_copies, to_bronze
+from bundlelake.operators.silver import flatten_all
+from bundlelake.plans.incremental import read_current, read_rejects, run_load
 from bundlelake.plans.lakehouse import (
     lazy_silver,
     quality_log_rows,
     run_full_load,
     write_zones,
 )
-from bundlelake.schemas import FILE_LEDGER, GOLD, QUALITY_LOG, RESOURCE_TYPES, WATERMARK_LEDGER
+from bundlelake.schemas import FILE_LEDGER, GOLD, QUALITY_LOG, RESOURCE_TYPES, RUN_LOG, WATERMARK_LEDGER
 from bundlelake.sinks import tables as sinks
 from bundlelake.sources import bundles as B
 from bundlelake.sources import retail
@@ -31,6 +33,7 @@ RUN_ID = "run-1"
 RUN_AT = "2024-02-01T00:00:00+00:00"
 DAY = RUN_AT[:10]
 AS_OF = "2024-06-30"
+LATER = "2024-02-02T00:00:00+00:00"
 HALF_TIME = "2024-01-16"
 QUARANTINE_BELOW = 98.0
 ENTRY_LIMIT = 2
@@ -591,15 +594,88 @@ def watermark_advance(spark, sf_dir):
     return I.advanced_watermarks(late, files, "run-2", DAY)
 
 
+def _load(spark, landing: str, root: str, run_id: str, run_at: str, **options) -> DataFrame:
+    return run_load(spark, landing, root, run_id, run_at, pattern="*.txt", one_per_line=True, buckets=8, **options)
+
+
+def _two_loads(spark, sf_dir) -> tuple[str, str]:
+    """Landing folder and lake after two deliveries; visits of the first are drafts in part."""
+    landing, root = session.scratch(spark, "landing"), session.scratch(spark, "lake")
+    retail.land_delivery(spark, sf_dir, landing, 1)
+    _load(spark, landing, root, "run-1", RUN_AT)
+    retail.land_delivery(spark, sf_dir, landing, 2)
+    return landing, root
+
+
 @_query
 def incremental_equals_full(spark, sf_dir):
-    root = session.scratch(spark, "lake")
-    found = retail.resources(spark, sf_dir)
-    early = F.substring("ingestion_timestamp", 1, 4) < "1999"
-    sinks.write_bronze(to_bronze(found.filter(early), "run-1"), root, "2024-02-01")
-    sinks.write_bronze(to_bronze(found.filter(~early), "run-2"), root, "2024-02-02")
-    full = latest_copies(to_bronze(found, "run-3"))
-    return I.difference(full, sources.read_bronze(spark, root))
+    """Two loads, the second broken off once and a third without new files, against all at once."""
+    landing, root = _two_loads(spark, sf_dir)
+    try:
+        _load(spark, landing, root, "run-2", LATER, stop_before="silver")
+    except RuntimeError:
+        pass
+    _load(spark, landing, root, "run-2", LATER)
+    _load(spark, landing, root, "run-3", LATER)
+    docs = B.read_documents(spark, landing, "*.txt", one_per_line=True)
+    full = latest_copies(to_bronze(B.explode_resources(B.parse_bundles(docs), RUN_AT), "run-4"))
+    return I.difference(full, read_current(spark, root, "bronze"))
+
+
+@_query
+def bronze_current(spark, sf_dir):
+    landing, root = _two_loads(spark, sf_dir)
+    _load(spark, landing, root, "run-2", LATER)
+    return read_current(spark, root, "bronze").select(
+        "resource_type", "resource_id", "version_id", "bundle_id", "full_url"
+    )
+
+
+@_query
+def gold_after_two_loads(spark, sf_dir):
+    """Visits and claims per patient, after later versions took the place of drafts."""
+    landing, root = _two_loads(spark, sf_dir)
+    _load(spark, landing, root, "run-2", LATER)
+    visits = read_current(spark, root, "gold_patient_encounter_summary").drop("gold_created_at")
+    bills = read_current(spark, root, "gold_claims_financial_summary")
+    return visits.join(bills.drop("full_name", "gender", "gold_created_at"), "patient_id", "full_outer")
+
+
+@_query
+def gold_rebuild_difference(spark, sf_dir):
+    """Rows of each summary after two loads that a rebuild from current bronze lacks, or the other way."""
+    landing, root = _two_loads(spark, sf_dir)
+    _load(spark, landing, root, "run-2", LATER)
+    rebuilt = G.build_all(flatten_all(read_current(spark, root, "bronze")), RUN_AT)
+    found = None
+    for name, table in rebuilt.items():
+        kept = read_current(spark, root, f"gold_{name}").drop("gold_created_at")
+        signed = table.drop("gold_created_at").withColumn("sign", F.lit(1)).unionByName(kept.withColumn("sign", F.lit(-1)))
+        balance = signed.groupBy(*kept.columns).agg(F.sum("sign").alias("balance"))
+        line = balance.agg(F.coalesce(F.sum(F.abs("balance")), F.lit(0).cast("long")).alias("unmatched_rows"))
+        line = line.select(F.lit(name).alias("table_name"), "unmatched_rows")
+        found = line if found is None else found.unionByName(line)
+    return found
+
+
+@_query
+def load_rejects(spark, sf_dir):
+    """What a load could not read, by reason; an empty file lies among the others."""
+    landing, root = session.scratch(spark, "landing"), session.scratch(spark, "lake")
+    retail.land(spark, sf_dir, f"{landing}/visits")
+    spark.createDataFrame([], "value string").write.text(f"{landing}/nothing")
+    _load(spark, landing, root, RUN_ID, RUN_AT)
+    return read_rejects(spark, root, RUN_ID).groupBy("reason").agg(F.count("*").alias("documents"))
+
+
+@_query
+def load_log(spark, sf_dir):
+    """Rows per stage of two loads, counted by the writes themselves."""
+    landing, root = _two_loads(spark, sf_dir)
+    _load(spark, landing, root, "run-2", LATER)
+    log = sources.read_table(spark, f"{root}/log/pipeline_run_log", RUN_LOG)
+    ingested = log.filter("stage IN ('ingest', 'bronze', 'validate')")
+    return ingested.groupBy("stage", "status").agg(F.sum("records").alias("records"), F.count("*").alias("runs"))
 
 
 @_query

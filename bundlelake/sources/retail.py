@@ -422,6 +422,52 @@ def bundle_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return singles.unionByName(visits)
 
 
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sound bundle documents in two deliveries: ``value, delivery``.
+
+    Half of all rows come with either. A sixth of the visits comes twice: as a draft with another
+    patient, price and length of stay, then as it is.
+    """
+    def bundled(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            F.expr(
+                "concat('{\"resourceType\":\"Bundle\",\"id\":\"', bundle_id, '\",\"entry\":[{\"fullUrl\":\"', "
+                "full_url, '\",\"resource\":', resource, '}]}')"
+            ).alias("value"),
+            "delivery",
+        )
+
+    singles = resources(spark, sf_dir, ("Patient", "Condition", "Observation"))
+    singles = singles.withColumn("delivery", F.expr("cast(pmod(hash(full_url), 2) + 1 AS int)"))
+    orders = _orders(spark, sf_dir)
+    late = F.expr("if(k % 6 = 0, 2, cast(k % 2 + 1 AS int))")
+    drafts = orders.filter("k % 6 = 0").withColumns(
+        {"customer": F.col("customer") + 1, "o_totalprice": F.col("o_totalprice") * 3}
+    )
+    parts = [bundled(singles)]
+    for rows, delivery, stay in ((orders, late, 0), (drafts, F.lit(1), 10)):
+        timed = _with_times(rows).withColumn("ended", F.expr(f"ended + make_dt_interval({stay})"))
+        for kind, body in (("Encounter", _ENCOUNTER_JSON), ("Claim", _CLAIM_JSON)):
+            made = timed.withColumn("delivery", delivery).withColumn("resource", F.expr(body))
+            parts.append(
+                bundled(made.selectExpr(
+                    "resource", "delivery", "concat('bundle-visit-', k) AS bundle_id",
+                    f"concat('urn:uuid:{kind.lower()}-', k) AS full_url",
+                ))
+            )
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def land_delivery(spark: SparkSession, sf_dir: str, path: str, delivery: int) -> str:
+    """Write one delivery as line files into a folder of its own."""
+    found = deliveries(spark, sf_dir).filter(F.col("delivery") == delivery).select("value")
+    found.write.mode("overwrite").text(f"{path}/delivery={delivery}")
+    return path
+
+
 def land(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Write the bundle documents as line files and return the folder."""
     bundle_texts(spark, sf_dir).select("value").write.mode("overwrite").text(path)

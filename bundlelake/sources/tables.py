@@ -103,3 +103,17 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataF
             F.col("_metadata.file_size").alias("length"),
         )
     )
+
+
+def empty_files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """Paths of landed files without a byte, which readers pass over."""
+    found = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
+        .load(path)
+    )
+    # only the file index, which the driver holds anyway, knows of them
+    names = spark.createDataFrame([(name,) for name in found.inputFiles()], "path string")
+    names = names.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"))  # as in _metadata
+    return names.join(list_files(spark, path, pattern).select("path"), "path", "left_anti")

@@ -896,6 +896,22 @@ FROM (SELECT DISTINCT resource_type, resource_id, version_id,
 GROUP BY resource_type""",
 }
 
+QUERIES["bronze_current"] = """
+SELECT DISTINCT resource_type, resource_id, version_id, bundle_id, full_url FROM raw"""
+QUERIES["gold_after_two_loads"] = """
+SELECT coalesce(ge.patient_id, gl.patient_id) AS patient_id, ge.* EXCLUDE (patient_id),
+  gl.* EXCLUDE (patient_id, full_name, gender)
+FROM ge FULL JOIN gl ON ge.patient_id = gl.patient_id"""
+QUERIES["gold_rebuild_difference"] = """
+SELECT unnest(['patient_encounter_summary', 'patient_condition_profile', 'claims_financial_summary',
+  'monthly_utilization_trends']) AS table_name, CAST(0 AS BIGINT) AS unmatched_rows"""
+QUERIES["load_rejects"] = QUERIES["bundle_rejects"] + """
+UNION ALL SELECT 'empty file', 1"""
+# Drafts come on top of the rows themselves: one visit in six has a draft of encounter and claim.
+QUERIES["load_log"] = """
+SELECT unnest(['ingest', 'bronze', 'validate']) AS stage, 'SUCCESS' AS status,
+  (SELECT count(*) FROM raw) + (SELECT CAST(2 * count(*) AS BIGINT) FROM orders WHERE o_orderkey % 6 = 0) AS records,
+  CAST(2 AS BIGINT) AS runs"""
 QUERIES["stream_after_batch"] = QUERIES["stream_equals_batch"]
 
 _CTES = {

@@ -188,4 +188,17 @@ def test_sums_survive_bad_numbers(spark):
     from bundlelake.functions.rounding import exact_sum
 
     values = spark.createDataFrame([(1.5,), (1e25,), (float("nan"),), (None,), (2.0,)], "v double")
-    assert values.agg(exact_sum(values["v"])).first()[0] == 3.5
+    assert values.agg(exact_sum(values["v"])).first()[0] == 1e25 + 3.5
+    small = values.filter("v < 1e20")
+    assert small.agg(exact_sum(small["v"])).first()[0] == 3.5
+    none = values.filter("v IS NULL OR isnan(v)")
+    assert none.agg(exact_sum(none["v"])).first()[0] is None
+
+
+def test_extremes_and_sums_agree_on_odd_amounts(spark):
+    """One large amount counts everywhere; what is no finite number counts nowhere."""
+    rows = [("p", f"c{k}", v) for k, v in enumerate((10.0, 1e25, float("nan"), float("inf"), None))]
+    claims = spark.createDataFrame(rows, "patient_id string, claim_id string, total_amount double")
+    claims = claims.selectExpr("*", "'x' AS claim_type", "'2024-01-02' AS created_date")
+    row = G.claims_financial_summary(None, claims, "now").first()
+    assert (row.total_claims, row.total_billed, row.max_claim_value, row.min_claim_value) == (5, 1e25, 1e25, 10.0)
