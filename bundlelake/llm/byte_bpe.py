@@ -17,6 +17,7 @@ import base64
 import functools
 import itertools
 import struct
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -68,6 +69,16 @@ def letters(data: bytes) -> str:
     return data.decode("latin-1").translate(_LETTERS)
 
 
+def letters_of(texts: list[bytes]) -> list[str]:
+    """:func:`letters` of many byte strings in one pass."""
+    flat = (np.frombuffer(b"".join(texts), np.uint8).astype("<u2") + _FIRST_LETTER).astype("<u2")
+    shown, at, out = flat.tobytes().decode("utf-16-le"), 0, []
+    for text in texts:
+        out.append(shown[at : at + len(text)])
+        at += len(text)
+    return out
+
+
 def serialise(ranks: dict[bytes, int]) -> tuple[bytes, np.ndarray]:
     """A sentencepiece model file of a vocabulary, and the rank of each of its pieces.
 
@@ -106,6 +117,7 @@ class PieceIds(dict):
 
         super().__init__()
         model, self.rank = serialise(ranks)
+        self.in_order = bool((self.rank == np.arange(len(self.rank))).all())
         self.whole = ranks
         self.encoder = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.old: dict[str, bytes] = {}
@@ -129,13 +141,14 @@ class PieceIds(dict):
             data = p.encode()
             rank = self.whole.get(data)  # a token by itself needs no merging
             if rank is None:
-                encoded.append((p, letters(data)))
+                encoded.append((p, data))
             else:
                 self[p] = struct.pack("<I", rank)
         if encoded:
-            found = self.encoder.encode([shown for _, shown in encoded], num_threads=1)
+            found = self.encoder.encode(letters_of([data for _, data in encoded]), num_threads=1)
             for (p, _), ids in zip(encoded, found, strict=True):
-                (self if len(p) <= CACHE_CHARS else long)[p] = self.rank[ids].tobytes()
+                data = array("I", ids).tobytes() if self.in_order else self.rank[ids].tobytes()
+                (self if len(p) <= CACHE_CHARS else long)[p] = data
         return long
 
 
