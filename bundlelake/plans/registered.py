@@ -27,7 +27,7 @@ from bundlelake.sinks import tables as sinks
 from bundlelake.sources import bundles as B
 from bundlelake.sources import retail
 from bundlelake.sources import tables as sources
-from bundlelake.streaming.ingest import stream_bundles
+from bundlelake.streaming.ingest import stream_bundles, stream_deliveries, streamed_documents
 
 RUN_ID = "run-1"
 RUN_AT = "2024-02-01T00:00:00+00:00"
@@ -702,3 +702,14 @@ def stream_after_batch(spark, sf_dir):
     stream_bundles(spark, landing, root, "run-2", RUN_AT, DAY, "*.txt", one_per_line=True)
     sinks.write_bronze(to_bronze(found.filter(~some), "run-3"), root, DAY)
     return I.difference(latest_copies(to_bronze(found, "run-4")), sources.read_bronze(spark, root))
+
+
+@_query
+def stream_rejects(spark, sf_dir):
+    """Rejected documents of a stream by reason, after the same texts were delivered once more."""
+    landing, root = session.scratch(spark, "landing"), session.scratch(spark, "lake")
+    for delivery in ("first", "repeated"):
+        retail.land(spark, sf_dir, f"{landing}/{delivery}")
+        stream_deliveries(spark, landing, root, RUN_ID, RUN_AT, DAY, "*.txt", one_per_line=True)
+    found = streamed_documents(spark, root, RUN_ID).filter("reason IS NOT NULL")
+    return found.groupBy("reason").agg(F.count("*").alias("documents"))

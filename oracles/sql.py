@@ -896,6 +896,7 @@ FROM (SELECT DISTINCT resource_type, resource_id, version_id,
 GROUP BY resource_type""",
 }
 
+QUERIES["stream_rejects"] = QUERIES["bundle_rejects"]
 QUERIES["bronze_current"] = """
 SELECT DISTINCT resource_type, resource_id, version_id, bundle_id, full_url FROM raw"""
 QUERIES["gold_after_two_loads"] = """

@@ -16,6 +16,7 @@ from bundlelake.schemas import GOLD, RUN_LOG
 from bundlelake.sinks import buckets as store
 from bundlelake.sources import bundles as B
 from bundlelake.sources import tables as sources
+from bundlelake.streaming.ingest import stream_deliveries, streamed_documents
 from tests import samples as S
 
 DAYS = [f"2024-02-0{k}T00:00:00+00:00" for k in range(1, 9)]
@@ -172,3 +173,22 @@ def test_states_under_random_changes(spark):
         old = spark.createDataFrame(state.collect(), layout.ddl)
         state = states.updated(layout, old, change, source)
         assert rows(state.select(*layout.columns())) == rows(states.fresh(layout, source).select(*layout.columns()))
+
+
+def test_a_stream_keeps_rejects_and_passes_over_repeats(spark, tmp_path):
+    landing, root = tmp_path / "in", str(tmp_path / "lake")
+    landing.mkdir()
+    put(str(landing), "one.json", S.bundle("b-1", S.record("p-100")), 1_000_000)
+    put(str(landing), "cut.json", "{", 1_000_000)
+    stream = lambda: stream_deliveries(spark, str(landing), root, "s", DAYS[0], DAYS[0][:10])
+    stream()
+    kept = sources.read_bronze(spark, root, dedup=False).count()
+    assert kept == 19
+    put(str(landing), "copy.json", S.bundle("b-1", S.record("p-100")), 1_000_100)  # the same text again
+    put(str(landing), "two.json", S.bundle("b-2", S.record("p-200")), 1_000_100)
+    stream()  # a new query from the checkpoint
+    stream()  # without new files
+    assert sources.read_bronze(spark, root, dedup=False).count() == 2 * kept
+    lines = streamed_documents(spark, root, "s").collect()
+    assert sorted(os.path.basename(r.source_file) for r in lines) == ["cut.json", "one.json", "two.json"]
+    assert [r.reason for r in lines if r.reason] == [B.MALFORMED]
