@@ -50,6 +50,15 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def quoted_name(column: str) -> str:
+    """A column's name for SQL: a dot in it is no field."""
+    return f"`{column.replace('`', '``')}`"
+
+
+def quoted(column: str) -> Column:
+    return F.col(quoted_name(column))
+
+
 def own_name(frame: DataFrame, name: str) -> str:
     """A column name that clashes with none of the frame's."""
     taken = {c.lower() for c in frame.columns}

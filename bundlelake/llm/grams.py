@@ -13,8 +13,12 @@ _CACHE_WORDS = 400_000
 class WordHashes(dict):
     """Hashes of words, kept up to a bound so that memory does not grow with the vocabulary."""
 
+    def __init__(self, limit: int = _CACHE_WORDS):
+        super().__init__()
+        self.limit = limit
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_WORDS:
+        if len(self) >= self.limit:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

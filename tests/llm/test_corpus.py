@@ -362,3 +362,99 @@ def test_pipeline(spark):
     assert counts[0] > counts[1] > counts[2] >= counts[3] and counts[5] == counts[4]
     whole = corpus_pipeline.run(spark, DATA)
     assert sorted(map(str, whole.collect())) == sorted(map(str, seen[-1].collect()))
+
+
+def exact_similarities(rows):
+    """Weighted Jaccard of all pairs that share a shingle, by the documented weights."""
+    bags = {k: Counter(tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))) for k, t in rows if t and t.split()}
+    having = defaultdict(list)
+    for k, bag in bags.items():
+        for g in bag:
+            having[g].append(k)
+    n = len(bags)
+    weights = {
+        k: {g: (1 + np.log(c)) * near_dedup.idf_weights(n, np.array([len(having[g])]))[0] for g, c in bag.items()} for k, bag in bags.items()
+    }
+    total = {k: sum(w.values()) for k, w in weights.items()}
+    common = Counter()
+    for g, ks in having.items():
+        for i, a in enumerate(ks):
+            for b in ks[i + 1 :]:
+                common[a, b] += min(weights[a][g], weights[b][g])
+    return {(a, b): m / (total[a] + total[b] - m) for (a, b), m in common.items()}
+
+
+def test_near_duplicate_recall_on_planted_links(spark):
+    rng = random.Random(21)
+    rows = []
+    for k in range(400):  # pairs around and above the threshold, each text in one pair only
+        words = [f"v{rng.randrange(20_000)}" for _ in range(rng.randrange(120, 400))]
+        edits = rng.randrange(1, max(2, len(words) // 40))
+        other = list(words)
+        for at in rng.sample(range(len(words)), edits):
+            other[at] = f"n{rng.randrange(10**6)}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    exact = exact_similarities(rows)
+    links = {p for p, j in exact.items() if j >= 0.8}
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(frame(spark, rows)).collect()}
+    caught = {(a, b) for a, b in links if found[a] == found[b]}
+    assert len(links) > 200 and len(caught) >= 0.98 * len(links)
+    close = [p for p in links if exact[p] < 0.85]
+    assert len(close) > 30 and len(caught.intersection(close)) >= 0.95 * len(close)
+    assert all(exact[2 * k, 2 * k + 1] >= 0.8 for k in range(400) if found[2 * k + 1] == 2 * k)
+
+
+def test_near_duplicate_recall_by_exact_weights(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    exact = exact_similarities([tuple(r) for r in documents.collect()])
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents).collect()}
+    assert all(found[a] == found[b] for (a, b), j in exact.items() if j >= 0.8)
+    parent = {k: k for k in found}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for (a, b), j in exact.items():
+        if j >= 0.8 - 1e-9:
+            parent[max(root(a), root(b))] = min(root(a), root(b))
+    assert found == {k: root(k) for k in found}
+
+
+def test_draws_agree_as_often_as_the_weighted_similarity():
+    rng = np.random.default_rng(5)
+    keys = np.sort(rng.integers(0, 1 << 63, 900, dtype=np.uint64))
+    a = np.where(rng.random(900) < 0.7, 1.25, rng.uniform(1, 3, 900))
+    b = np.where(rng.random(900) < 0.8, a, rng.uniform(1, 3, 900))
+    shared = slice(100, 900)
+    first = [np.zeros(1, np.int64)]
+    drawn_a = near_dedup.draw(keys[:800], a[:800], first[0], 4000)
+    drawn_b = near_dedup.draw(keys[shared], b[shared], first[0], 4000)
+    least = np.minimum(a[100:800], b[100:800]).sum()
+    similarity = least / (a[:800].sum() + b[shared].sum() - least)
+    assert abs((drawn_a == drawn_b).mean() - similarity) < 0.03
+
+
+def test_near_duplicates_of_clashing_keys_and_names(spark):
+    t1, t2, t3 = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    columns = "doc_id long, text string, `a.b` string, _name string, _key int"
+    rows = [(1, t1, "x", "n", 1), (1, t2, "y", "n", 2), (2, t2, "z", "n", 3), (3, t3, "w", None, 4), (3, t3, "w", None, 4), (None, t2, "u", "n", 5)]
+    documents = frame(spark, rows, columns)
+    assert sorted(tuple(r) for r in near_dedup.classes(documents.where("doc_id IS NOT NULL")).collect()) == [(1, 1), (1, 1), (2, 1), (3, 3), (3, 3)]
+    kept = near_dedup.keep_one(documents)
+    assert kept.columns == documents.columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(1, t1), (1, t2), (3, t3), (None, t2)])
+    dotted = documents.select("doc_id", F.col("text").alias("the.text"))
+    assert near_dedup.classes(dotted, text="the.text").count() == 6
+    assert near_dedup.keep_one(documents.where("false")).count() == 0
+
+
+def test_near_duplicates_of_long_texts(spark):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**5)}" for _ in range(60_000)]
+    other = list(words)
+    for at in rng.sample(range(len(words)), 1_000):
+        other[at] = "changed"
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[:30_000])), (4, " ".join(words).replace(" ", "  "))]
+    assert {r[0]: r[1] for r in near_dedup.classes(frame(spark, rows)).collect()} == {1: 1, 2: 1, 3: 3, 4: 1}
