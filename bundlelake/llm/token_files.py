@@ -19,6 +19,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,9 @@ from bundlelake.llm.common import slices, stored
 
 MAGIC = b"BPS1"
 BLOCK_IDS, LEVEL = 1 << 16, 3
-#: Words and pieces whose ids a Python worker remembers, so that memory does not grow with the vocabulary.
-CACHE_WORDS, CACHE_PIECES = 300_000, 500_000
+#: Words and pieces whose ids a Python worker remembers in each of two generations, so that memory
+#: does not grow with the vocabulary. Those that keep coming stay: a hit in the old one is taken over.
+CACHE_WORDS, CACHE_PIECES = 250_000, 250_000
 #: Documents in one block of document numbers and lengths.
 BLOCK_DOCS = 1 << 14
 
@@ -153,6 +155,8 @@ class Reader:
 
 #: Words whose code points every Unicode version classes alike; no white space among them.
 _LATIN = re.compile("[\\x21-\\x7e\\xa1-\\u024f]+")
+#: What no line of ASCII words of that kind has.
+_NOT_PLAIN = re.compile("[^\\x21-\\x7e\\n]")
 
 #: Stands between words among ids; no vocabulary has it.
 _NO_ID = np.uint32(0xFFFFFFFF)
@@ -175,6 +179,13 @@ def _cut_pattern(path: str) -> regex.Pattern | None:
     return regex.compile(f"{split['pattern']['Regex']}|\n")
 
 
+def _take_over(missing: set, young: dict, old: dict) -> set:
+    """Moves what the old generation knows to the young one; returns the rest."""
+    back = missing & old.keys()
+    young.update((w, old[w]) for w in back)
+    return missing - back
+
+
 class WordIds(dict):
     """Ids of white-space separated words as bytes; unknown words are encoded by the tokenizer.
 
@@ -190,21 +201,29 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.old: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
         added = self.tokenizer.get_added_tokens_decoder()
         special = [(i, t) for i, t in added.items() if t.special]
         #: A special token that stands between words, so that many are encoded in one call.
         self.mark = (special[0][0], special[0][1].content) if special else None
         self.added = re.compile("|".join(re.escape(t.content) for t in added.values()) or r"(?!)", re.I)
         self.cut = _cut_pattern(path)
-        #: Writes the bytes of a piece in the letters of the vocabulary; ASCII ones stand for themselves.
-        self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # the bytes of a piece are written in the letters of the vocabulary; ASCII ones stand for themselves
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        #: All bytes of code points up to U+024F beyond ASCII, by their letters.
+        self.letters = {}
+        for c in map(chr, range(0x80, 0x250)):
+            self.letters |= zip(c.encode(), byte_level.pre_tokenize_str(c)[0][0], strict=True)
 
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHE_WORDS:
+        missing = words - self.keys()
+        if len(self) + len(missing) > CACHE_WORDS:
+            self.old = dict(self)
             self.clear()
-            new = list(words)
+            missing = words
+        new = list(_take_over(missing, self, self.old))
         if new and self.cut is not None:
             new = self._learn_by_pieces(new)
         mark = self.mark[1].encode() if self.mark else b""
@@ -223,29 +242,35 @@ class WordIds(dict):
     def _encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
+    def _plain(self, words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+        """The words of Latin letters, digits and symbols, and the others."""
+        plain = [bool(_LATIN.fullmatch(t := w.decode()) and not self.added.search(t)) for w in words]
+        return list(compress(words, plain)), [w for w, is_plain in zip(words, plain, strict=True) if not is_plain]
+
     def _learn_by_pieces(self, words: list[bytes]) -> list[bytes]:
         """Learn the words of Latin letters, digits and symbols; returns the others."""
-        keys, shown, accented, others = [], [], [], []
-        for w, text in zip(words, b" ".join(words).decode().split(" "), strict=True):
-            if not _LATIN.fullmatch(text) or self.added.search(text):
-                others.append(w)
-                continue
-            if not text.isascii():
-                accented.append(len(keys))
-            keys.append(w)
-            shown.append(text.lower())
+        keys, others = [w for w in words if w.isascii()], []
+        text = b"\n".join(keys).decode()
+        if _NOT_PLAIN.search(text) or self.added.search(text):
+            keys, others = self._plain(keys)
+            text = b"\n".join(keys).decode()
+        shown = [text.lower()] if keys else []
+        accented, more = self._plain([w for w in words if not w.isascii()])
+        others += more
         if accented:
-            texts = " ".join(keys[k].decode() for k in accented)
-            for k, text in zip(accented, self.tokenizer.normalizer.normalize_str(texts).split(" "), strict=True):
-                shown[k] = text
+            text = self.tokenizer.normalizer.normalize_str(b" ".join(accented).decode())
+            shown.append(text.replace(" ", "\n"))
+            keys += accented
         flat = self.cut.findall("\n".join(shown))
-        missing = set(flat) - self.pieces.keys()
+        seen = set(flat)
+        missing = seen - self.pieces.keys()
         if len(self.pieces) + len(missing) > CACHE_PIECES:
-            self.pieces.clear()
-            missing = set(flat)
+            self.old_pieces, self.pieces = self.pieces, {}
+            missing = seen
+        missing = _take_over(missing, self.pieces, self.old_pieces)
         model, letters = self.tokenizer.model, self.letters
         for p in missing - {"\n"}:
-            known = p if p.isascii() else letters.pre_tokenize_str(p)[0][0]
+            known = p if p.isascii() else p.encode().decode("latin-1").translate(letters)
             self.pieces[p] = array("I", [t.id for t in model.tokenize(known)]).tobytes()
         self.pieces["\n"] = _BREAK
         data = b"".join(map(self.pieces.__getitem__, flat))
