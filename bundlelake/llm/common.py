@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bundlelake.session import scratch
 
@@ -65,6 +66,29 @@ def own_name(frame: DataFrame, name: str) -> str:
     return name if name.lower() not in taken else f"{name}_{uuid.uuid4().hex[:8]}"
 
 
+def with_arrow(
+    frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    helpers: list[str], into: str, kind: str,
+) -> DataFrame:
+    """The frame with what ``run`` makes of it: without the helper columns, with ``into`` at the end.
+
+    Other columns travel under plain names, since Spark finds no column with a dot in its name when
+    it sends rows to Python.
+    """
+    kept = [f for f in frame.schema.fields if f.name not in helpers]
+    plain = {f.name: f"_c{k}" for k, f in enumerate(kept)}
+    names = [*plain.values(), "_made"]
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(batches):
+            yield out.rename_columns(names)
+
+    fields = [T.StructField(plain[f.name], f.dataType) for f in kept]
+    made = T.StructType([*fields, T.StructField("_made", T.DataType.fromDDL(kind))])
+    sent = frame.select(*[quoted(c).alias(plain.get(c, c)) for c in frame.columns])
+    return sent.mapInArrow(renamed, made).toDF(*[f.name for f in kept], into)
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:

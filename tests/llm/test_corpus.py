@@ -329,6 +329,46 @@ def test_page_text_is_whole():
         assert html_text.extract(page, "/no/such") == html_text.extract(page)
 
 
+BODY, BODY_TEXT = "<p>Body text one is here.</p><p>And a second one, longer.</p>", "Body text one is here.\n\nAnd a second one, longer."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<div class="content no-sidebar">{BODY}</div>', BODY_TEXT),
+        (f'<div id=page class="layout-sidebar-right">{BODY}</div>', BODY_TEXT),
+        (f"<form id=aspnetForm><div class=nav>Menu</div><h1>Title</h1>{BODY}</form>", f"Title\n\n{BODY_TEXT}"),
+        (f"<form id=aspnetForm>{BODY}</form>", BODY_TEXT),
+        (f'<main class="search-page"><div class="post related-posts-enabled">{BODY}</div></main>', BODY_TEXT),
+        (f'<article><p class="alert">Mind.</p>{BODY}</article>', f"Mind.\n\n{BODY_TEXT}"),
+        (f'<article>{BODY}<section class="comment-policy"><p>Policy.</section></article>', f"{BODY_TEXT}\n\nPolicy."),
+        (f"<article><header><div><h1>Title</h1></div></header>{BODY}</article>", f"Title\n\n{BODY_TEXT}"),
+        (f"<body><header><h1>Site</h1></header><div class=post><header><h1>Title</h1></header>{BODY}</div>", f"Title\n\n{BODY_TEXT}"),
+        (f"<body><header><h1>Site</h1></header>{BODY}</body>", BODY_TEXT),
+        (f'<article>{BODY}<div class="share-buttons">Share</div></article><div class=sidebar>{BODY * 5}</div>', BODY_TEXT),
+        (f"<div class=post>{BODY}</div><div id=comments>{BODY * 9}<article class=comment-body>x</article></div>", BODY_TEXT),
+        (f"<div class=post>{BODY * 50}</div><div>Side words</div>", "\n\n".join([BODY_TEXT] * 50 + ["Side words"])),
+    ],
+)
+def test_furniture_is_told_by_whole_names_and_evidence(page, text):
+    assert html_text.extract(page) == text
+
+
+@pytest.mark.parametrize("piece", ["<font>x", "<div>x", "<p>a<font>", "<a href=x>y", "<h1>x"])
+def test_unclosed_tags_take_linear_time(piece):
+    import time
+
+    begin = time.perf_counter()
+    assert html_text.extract(piece * 100_000) or piece.startswith("<a")
+    assert time.perf_counter() - begin < 30
+
+
+def test_page_columns_with_dots(spark):
+    pages = spark.createDataFrame([("u", "<p>Text</p>", 1)], "`a.url` string, `a.html` string, `x.y` int")
+    found = html_text.main_text(pages, "a.url", "a.html", "a.text")
+    assert found.columns == [*pages.columns, "a.text"] and found.first()["a.text"] == "Text"
+
+
 def test_all_containers_at_a_host_path(spark):
     page = "<body><div class=top>a b</div><article><p>One</p></article><article><p>Two is longer</p></article></body>"
     rows = [(k, "http://a.example/x", f"<body><article><p>Story {k}</p></article></body>") for k in range(3)]
