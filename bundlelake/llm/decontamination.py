@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bundlelake.llm.common import own_name, slices
+from bundlelake.llm.common import own_name, quoted, slices, with_arrow
 
 WINDOW = 10
 #: Words of a shift-table block; shorter strings use blocks of their own length.
@@ -192,13 +192,11 @@ def search(
             out = batch.drop_columns([body])
             yield out.append_column("benchmark_hits", pa.array(rows, hits))
 
-    schema = (
-        ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in documents.dtypes)
-        + (", " if documents.columns else "")
-        + "benchmark_hits struct<n_words: bigint, n_hit: bigint, n_items: bigint, item_ids: array<string>,"
+    kind = (
+        "struct<n_words: bigint, n_hit: bigint, n_items: bigint, item_ids: array<string>,"
         " spans: array<struct<first: bigint, end: bigint>>>"
     )
-    return documents.withColumn(body, F.col(text).cast("binary")).mapInArrow(run, schema)
+    return with_arrow(documents.withColumn(body, quoted(text).cast("binary")), run, [body], "benchmark_hits", kind)
 
 
 def digest(item_ids: list[str]) -> str:
@@ -207,4 +205,4 @@ def digest(item_ids: list[str]) -> str:
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """Keep the documents without any benchmark window; the columns stay as they are."""
-    return search(documents, benchmark, text).where("benchmark_hits.n_hit = 0").select(*documents.columns)
+    return search(documents, benchmark, text).where("benchmark_hits.n_hit = 0").select(*[quoted(c) for c in documents.columns])

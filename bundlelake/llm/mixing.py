@@ -15,9 +15,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from bundlelake.llm.common import count_words, let, stored
+from bundlelake.llm.common import count_words, let, quoted, stored
 
 #: Weights of the sources in order, repeating, and the mix's size as a share of all sizes.
 WEIGHTS, SHARE = (3, 1, 2), 1.5
@@ -120,8 +121,8 @@ def plan(
     drawn by itself. The result depends on the rows alone, not on their order or partitions.
     """
     narrow = documents.select(
-        F.col(key).alias("key"), F.col(source).cast("string").alias("source"), count_words(F.col(text)).alias("size"),
-        F.xxhash64(F.col(text), F.col(source)).alias("content"),
+        quoted(key).alias("key"), quoted(source).cast("string").alias("source"), count_words(quoted(text)).alias("size"),
+        F.xxhash64(quoted(text), quoted(source)).alias("content"),
     ).withColumn("doc", F.coalesce(F.col("key").cast("long"), "content"))
     twin = F.row_number().over(Window.partitionBy("doc").orderBy("content"))
     rows = stored(narrow.withColumn("twin", twin).drop("content"), "mix-sizes")
@@ -170,10 +171,14 @@ def mix(documents: DataFrame, key: str = "doc_id", text: str = "text", source: s
     copies = plan(documents, key, text, source).select(
         F.col("doc").alias("_doc"), F.col("twin").alias("_twin"), "copies"
     ).where("copies > 0")
-    body = F.struct(*documents.columns).alias("_row")
-    content = F.xxhash64(F.col(text), F.col(source))
-    rows = documents.select(body, F.coalesce(F.col(key).cast("long"), content).alias("_doc"), content.alias("_content"))
-    twin = F.row_number().over(Window.partitionBy("_doc").orderBy("_content"))
+    body = F.struct(*[quoted(c) for c in documents.columns]).alias("_row")
+    content = F.xxhash64(quoted(text), quoted(source))
+    # rows alike in text and source are numbered by their other columns, so that reruns agree
+    other = F.xxhash64(*[quoted(f.name) for f in documents.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    rows = documents.select(
+        body, F.coalesce(quoted(key).cast("long"), content).alias("_doc"), content.alias("_content"), other.alias("_other")
+    )
+    twin = F.row_number().over(Window.partitionBy("_doc").orderBy("_content", "_other"))
     return (
         rows.withColumn("_twin", twin)
         .join(copies, ["_doc", "_twin"])

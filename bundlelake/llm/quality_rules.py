@@ -13,7 +13,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bundlelake.llm.common import WORD, let, words_of
+from bundlelake.llm.common import WORD, let, quoted, words_of
 
 #: Marks that prose rarely has, as the statistics count them.
 SYMBOLS = r"[#*$%&|<>]"
@@ -138,7 +138,7 @@ def assess(documents: DataFrame, text: str = "text", max_lost: float = MAX_LOST)
     included; a column already named ``quality`` is replaced. A null or empty text has no
     words, so ``base_failed`` is true and its ``clean_text`` is empty. Texts are judged whole.
     """
-    facts = _facts(F.coalesce(F.col(text), F.lit("")))
+    facts = _facts(F.coalesce(quoted(text), F.lit("")))
 
     def verdict(f):
         failed = (f["n_words"] < MIN_WORDS) | (
@@ -166,4 +166,4 @@ def clean(documents: DataFrame, text: str = "text") -> DataFrame:
     changed = {text: F.col("quality.clean_text")}
     if "n_chars" in documents.columns:
         changed["n_chars"] = F.length(F.col("quality.clean_text")).cast("long")
-    return passed.withColumns(changed).select(*documents.columns)
+    return passed.withColumns(changed).select(*[quoted(c) for c in documents.columns])

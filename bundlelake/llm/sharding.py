@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bundlelake.llm.common import own_name
+from bundlelake.llm.common import own_name, quoted
 
 #: Slots of the table; prime, and over a hundred times the number of shards.
 SLOTS = 65_537
@@ -40,7 +40,9 @@ def lookup_table(shards: Sequence[str], slots: int = SLOTS, weights: Mapping[str
         offset = int.from_bytes(seed[:8], "big") % slots
         skip = int.from_bytes(seed[8:16], "big") % (slots - 1) + 1
         plans.append((offset, skip))
-    turns = [max(1, (weights or {}).get(name, 1)) for name in shards]
+    turns = [(weights or {}).get(name, 1) for name in shards]
+    if min(turns) < 1:
+        raise ValueError("weights must be positive")
     owner, reached, free = [-1] * slots, [0] * len(shards), slots
     while free:
         for k, (offset, skip) in enumerate(plans):
@@ -78,8 +80,8 @@ def place(
     rows = [(slot, names[k]) for slot, k in enumerate(lookup_table(names, slots, weights))]
     table = F.broadcast(spark.createDataFrame(rows, "slot long, shard string"))
     documents = documents.drop("slot", "shard")
-    return documents.withColumn("slot", slot_of(F.col(key), slots)).join(table, "slot").select(
-        *documents.columns, "slot", "shard"
+    return documents.withColumn("slot", slot_of(quoted(key), slots)).join(table, "slot").select(
+        *[quoted(c) for c in documents.columns], "slot", "shard"
     )
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bundlelake.llm.common import own_name, slices
+from bundlelake.llm.common import own_name, quoted, slices, with_arrow
 from bundlelake.llm.grams import WordHashes, rolling, split, starts
 
 WINDOW, SEED = 13, 5
@@ -170,13 +170,13 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _runs(doc[hit], at[hit])
 
 
-def _kept(window, text):
+def _kept(window, body, found, copied):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, body):
             rows = []
-            spans = batch.column("_spans").to_pylist()
-            copies = batch.column("_copy").to_pylist()
-            for words, mine, copy in zip(split(batch.column(text).cast(pa.binary())), spans, copies, strict=True):
+            spans = batch.column(found).to_pylist()
+            copies = batch.column(copied).to_pylist()
+            for words, mine, copy in zip(split(batch.column(body)), spans, copies, strict=True):
                 n, factors = len(words), []
                 if copy and n >= window:
                     factors = [(0, n)]
@@ -199,7 +199,7 @@ def _kept(window, text):
                 ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string()),
                 ("factors", pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
             ])
-            yield batch.drop_columns(["_spans", "_copy"]).append_column("repeats", pa.array(rows, kind))
+            yield batch.drop_columns([body, found, copied]).append_column("repeats", pa.array(rows, kind))
 
     return run
 
@@ -214,7 +214,7 @@ def find_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text",
     id must be an integer. A column named ``repeats`` is replaced, other names are free.
     """
     documents = documents.drop("repeats")
-    source = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("binary").alias("text")).where(
+    source = documents.select(quoted(key).cast("long").alias("doc"), quoted(text).cast("binary").alias("text")).where(
         "doc IS NOT NULL AND length(text) > 0"
     )
     hashed = source.select("doc", F.sha2("text", 256).alias("digest"))
@@ -240,15 +240,15 @@ def find_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text",
         .mapInArrow(_covered, _ROWS_SQL)
         .groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
     )
-    number = own_name(documents, "_doc")
+    number, found, copied, body = (own_name(documents, n) for n in ("_doc", "_spans", "_copy", "_body"))
     joined = (
-        documents.withColumn(number, F.col(key).cast("long"))
-        .join(copies.select(F.col("doc").alias(number), F.col("copy").alias("_copy")), number, "left")
-        .join(spans.select(F.col("doc").alias(number), "_spans"), number, "left")
+        documents.withColumns({number: quoted(key).cast("long"), body: quoted(text).cast("binary")})
+        .join(copies.select(F.col("doc").alias(number), F.col("copy").alias(copied)), number, "left")
+        .join(spans.select(F.col("doc").alias(number), F.col("_spans").alias(found)), number, "left")
         .drop(number)
     )
-    schema = ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in documents.dtypes) + (
-        ", repeats struct<n_words: bigint, n_removed: bigint, kept_text: string,"
+    kind = (
+        "struct<n_words: bigint, n_removed: bigint, kept_text: string,"
         " factors: array<struct<first: bigint, end: bigint>>>"
     )
-    return joined.select(*documents.columns, "_spans", "_copy").mapInArrow(_kept(window, text), schema)
+    return with_arrow(joined, _kept(window, body, found, copied), [body, found, copied], "repeats", kind)

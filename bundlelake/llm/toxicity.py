@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bundlelake.llm.common import own_name, slices
+from bundlelake.llm.common import own_name, quoted, slices, with_arrow
 
 GRAMS, BUCKETS, DIMENSIONS = (3, 4, 5), 1 << 17, 8
 #: Labelled rows the model is fitted on at most, of label 1 and of label 0.
@@ -120,8 +120,8 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     left out; a label of no document is too. Without rows of both labels the model scores every
     text by the base rate alone.
     """
-    rows = labels.where(F.col(key).isNotNull() & F.col("label").isin(0, 1)).select(
-        F.col(key).alias("_key"), F.col("label").cast("int").alias("label")
+    rows = labels.where(quoted(key).isNotNull() & F.col("label").isin(0, 1)).select(
+        quoted(key).alias("_key"), F.col("label").cast("int").alias("label")
     )
     counts = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
     total = sum(counts.values())
@@ -133,9 +133,8 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
         return rows.where(F.col("label") == value).orderBy(F.xxhash64("_key"), "_key").limit(most)
 
     chosen = some(1, SAMPLE[0]).unionAll(some(0, SAMPLE[1]))  # bounded by SAMPLE
-    sample = documents.join(F.broadcast(chosen), documents[key] == chosen["_key"]).select(
-        documents[text].alias("text"), "label"
-    )
+    texts = documents.select(quoted(key).alias("_key"), quoted(text).alias("text"))
+    sample = texts.join(F.broadcast(chosen), "_key").select("text", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bags, labels, grams = [], [], _Grams()
@@ -196,8 +195,7 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], text: str = "te
                 out.append(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
             yield batch.drop_columns([body]).append_column(into, pa.array(out, pa.float64()))
 
-    schema = ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in [*documents.dtypes, (into, "double")])
-    return documents.withColumn(body, F.col(text)).mapInArrow(run, schema)
+    return with_arrow(documents.withColumn(body, quoted(text)), run, [body], into, "double")
 
 
 def held_out(key: Column) -> Column:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bundlelake.llm import decontamination, licenses, quality_rules, queries, toxicity
+from bundlelake.llm import decontamination, licenses, mixing, quality_rules, queries, sharding, substring_dedup, toxicity
 
 DATA = "/root/testdata/sf0.001"
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -214,3 +214,33 @@ def test_toxicity_misspellings_and_edges(spark):
     assert scores[1] > 0.5 > scores[2] and scores[3] == scores[4] == scores[5]
     lone = toxicity.train(labelled.drop("label"), labelled.select("doc_id", F.lit(0).alias("label")))
     assert toxicity.score(asked, lone).agg(F.max("score")).first()[0] < 0.5
+
+
+def test_any_names_of_columns(spark):
+    """Dots in names and names that the operators use themselves, in every operator on documents."""
+    kinds = "`a.id` long, `a.text` string, `a.source` string, `x.y` int, _copy int, _spans int, label int, body int, _key int, _doc int"
+    texts = [" ".join(f"w{k}x{i}" for i in range(30)) for k in range(3)]
+    rows = [(k, texts[k % 3], "s", k, 1, 2, 3, 4, 5, 6) for k in range(6)] + [(None,) * 10]
+    docs = spark.createDataFrame(rows, kinds)
+    bench = spark.createDataFrame([("q", texts[0])], "item_id string, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "`a.id` long, label int")
+    names = docs.columns
+    repeats = substring_dedup.find_repeats(docs, "a.id", "a.text")
+    assert repeats.columns == [*names, "repeats"]
+    assert sorted(r["repeats"]["n_removed"] for r in repeats.collect()) == [0, 0, 0, 0, 30, 30, 30]
+    clean = quality_rules.clean(docs, "a.text")
+    assert clean.columns == names and clean.count() == 6
+    kept = decontamination.remove_contaminated(docs, bench, "a.text")
+    assert kept.columns == names and kept.count() == 5
+    mixed = mixing.mix(docs, "a.id", "a.text", "a.source")
+    assert mixed.columns == names and mixed.where("`a.id` IS NOT NULL").count() == 9
+    placed = sharding.place(docs, key="a.id")
+    assert placed.columns == [*names, "slot", "shard"] and placed.count() == 7
+    model = toxicity.train(docs, labels, "a.id", "a.text")
+    scored = toxicity.score(docs, model, "a.text")
+    assert scored.columns == [*names, "score"] and scored.where("score BETWEEN 0 AND 1").count() == 7
+
+
+def test_shard_weights_are_positive():
+    with pytest.raises(ValueError):
+        sharding.lookup_table(["a", "b"], 7, {"a": 0})
