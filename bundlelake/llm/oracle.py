@@ -3,13 +3,57 @@
 Written from the definitions of the results and sharing no code with the operators. The source mix,
 near-duplicates, token ids of either kind, toxicity, page text, repaired conversations and the
 placement table are random, iterative or need a library, so they have none; tests hold them against
-brute force. The licence scan and the quality rules have none yet.
+brute force. The licence scan has none yet.
 """
 
 from __future__ import annotations
 
 _WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
 
+QUALITY_RULES = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+lines AS (
+  SELECT doc_id, line, i, lower(line) AS low, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d)
+),
+judged AS (
+  SELECT *, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
+    len(regexp_extract_all(line, '[#*$%&|<>]')) > 0.2 * n
+    OR len(regexp_extract_all(line, '[!?]{2,}')) > 0.3 * n
+    OR len(regexp_extract_all(line, '[|»›·•]')) > 0.3 * n
+    OR (length(line) <= 120 AND (
+      regexp_matches(line, '(?i)^[^A-Za-z0-9_]*(home|menu|search|log ?in|log ?out|sign ?in|sign ?up|register|next|previous|prev|back|back to top|skip to (main )?content|contact( us)?|about( us)?|help|faq|sitemap|site map|share|print|read more|more|subscribe|follow us)[^A-Za-z0-9_]*$')
+      OR regexp_matches(low, 'all rights reserved|terms of use|terms of service|privacy policy|cookie policy|use cookies|accept cookies|accept all cookies|enable javascript|click here|lorem ipsum|subscribe to our|sign up for|powered by'))) AS fails
+  FROM lines
+),
+by_line AS (
+  SELECT doc_id, CAST(sum(chars) AS BIGINT) AS word_chars,
+    CAST(coalesce(sum(chars) FILTER (NOT fails), 0) AS BIGINT) AS left_chars,
+    CAST(count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS BIGINT) AS n_dup_lines
+  FROM judged GROUP BY doc_id
+),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)
+),
+twice AS (SELECT doc_id, gram FROM windows GROUP BY doc_id, gram HAVING count(*) > 1),
+spread AS (
+  SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 5)) AS own
+  FROM windows JOIN twice USING (doc_id, gram)
+),
+repeats AS (SELECT doc_id, CAST(sum(own) AS BIGINT) AS n FROM spread GROUP BY doc_id),
+facts AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, word_chars, left_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM d JOIN by_line USING (doc_id) LEFT JOIN repeats r USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND left_chars >= 0.6 * word_chars AS kept
+FROM facts
+"""
+
 SUBSTRING_DEDUP = rf"""
 WITH d AS (SELECT doc_id, {_WORDS.format(text='text')} AS w FROM documents),
 windows AS (
@@ -126,6 +170,7 @@ FROM words w LEFT JOIN near USING (word) LEFT JOIN best USING (word) LEFT JOIN r
 def oracles() -> dict[str, str]:
     return {
         "op2_substring_dedup": SUBSTRING_DEDUP,
+        "op3_quality_rules": QUALITY_RULES,
         "op8_benchmark_decontamination": DECONTAMINATION,
         "op11_spelling_variants": VARIANTS,
     }
