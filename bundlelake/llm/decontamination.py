@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bundlelake.llm.common import own_name, quoted, slices, with_arrow
+from bundlelake.llm.common import own_name, quoted, slices, stored, with_arrow
 
 WINDOW = 10
 #: Words of a shift-table block; shorter strings use blocks of their own length.
@@ -124,79 +124,94 @@ class Search:
             low = low + 1
 
 
-def benchmark_parts(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> list[list[tuple[str, bytes]]]:
-    """The benchmark's items in parts of bounded size, streamed through the driver.
+def benchmark_parts(
+    benchmark: DataFrame, item: str = "item_id", text: str = "text", part_words: int = PART_WORDS
+) -> Iterator[list[tuple[str, bytes]]]:
+    """The benchmark's items in parts of bounded size, one at a time.
 
-    A benchmark is a test set of known, small size; however large, one part at a time is sent to
-    the tasks. An item without an id cannot be named and is left out.
+    An item of more words than a part is a part by itself. One without an id cannot be named and is
+    left out. There is one part at least, which may be empty.
     """
     rows = (
-        benchmark.where(F.col(item).isNotNull())
-        .select(F.col(item).cast("string").alias("i"), F.col(text).cast("binary").alias("t"))
+        benchmark.where(quoted(item).isNotNull())
+        .select(quoted(item).cast("string").alias("i"), quoted(text).cast("binary").alias("t"))
         .distinct()
     )
-    parts, held = [[]], 0
+    part, held = [], 0
     for i, t in rows.toLocalIterator():
-        size = 1 + (bytes(t).count(b" ") if t is not None else 0)
-        if parts[-1] and held + size > PART_WORDS:
-            parts.append([])
-            held = 0
-        parts[-1].append((i, bytes(t) if t is not None else b""))
+        t = bytes(t) if t is not None else b""
+        size = 1 + len(words_of(t))
+        if part and held + size > part_words:
+            yield part
+            part, held = [], 0
+        part.append((i, t))
         held += size
-    return parts
+    yield part
 
 
-def search(
-    documents: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW
-) -> DataFrame:
-    """Add ``benchmark_hits`` to every document.
+_KIND = (
+    "struct<n_words: bigint, n_hit: bigint, n_items: bigint, item_ids: array<string>,"
+    " spans: array<struct<first: bigint, end: bigint>>>"
+)
+_HITS = pa.struct([
+    ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("item_ids", pa.list_(pa.string())),
+    ("spans", pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
+])
 
-    A struct of ``n_words``, ``n_hit`` (words inside any occurrence of a window), ``n_items``,
-    ``item_ids`` (sorted as strings), ``spans`` (start and end word of every hit run). One row per
-    input row; null and empty texts have no words. Items without words match nothing; an item id
-    that occurs with several texts is one item. A column named ``benchmark_hits`` is replaced.
-    Documents are not shuffled; the tables sent to the tasks are bounded by ``PART_WORDS``, and
-    a larger benchmark is searched part by part in the same pass.
-    """
-    spark = documents.sparkSession
-    parts = [spark.sparkContext.broadcast(p) for p in benchmark_parts(benchmark)]
-    documents = documents.drop("benchmark_hits")
-    body = own_name(documents, "body")
-    hits = pa.struct([
-        ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()),
-        ("item_ids", pa.list_(pa.string())),
-        ("spans", pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
-    ])
+
+def _searched(part, body: str, before: str | None, window: int):
+    """Search one part, adding to what the parts before it have found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [
-            (Patterns([(k, t) for k, (_, t) in enumerate(p.value)], window), [i for i, _ in p.value])
-            for p in parts
-        ]
+        items = part.value
+        patterns, ids = Patterns([(k, t) for k, (_, t) in enumerate(items)], window), [i for i, _ in items]
         for batch in slices(batches, body):
             texts = [words_of(t) for t in batch.column(body).to_pylist()]
-            flags, names = None, [set() for _ in texts]
-            for patterns, ids in tables:
-                hit, bounds, found = patterns.find(texts)
-                flags = hit if flags is None else flags | hit
-                for mine, numbers in zip(names, found, strict=True):
-                    mine.update(ids[n] for n in numbers)
+            flags, bounds, found = patterns.find(texts)
+            earlier = batch.column(before).to_pylist() if before else [None] * len(texts)
             rows = []
-            for k, mine in enumerate(names):
-                own = flags[bounds[k] : bounds[k + 1]]
+            for k, (numbers, old) in enumerate(zip(found, earlier, strict=True)):
+                own, mine = flags[bounds[k] : bounds[k + 1]], {ids[n] for n in numbers}
+                if old:
+                    mine.update(old["item_ids"])
+                    for span in old["spans"]:
+                        own[span["first"] : span["end"]] = True
                 edges = np.flatnonzero(np.diff(np.r_[0, own.view(np.int8), 0])).tolist() if mine else []
                 rows.append({
                     "n_words": len(own), "n_hit": int(own.sum()), "n_items": len(mine), "item_ids": sorted(mine),
                     "spans": [{"first": a, "end": z} for a, z in zip(edges[::2], edges[1::2], strict=True)],
                 })
-            out = batch.drop_columns([body])
-            yield out.append_column("benchmark_hits", pa.array(rows, hits))
+            out = batch.drop_columns([c for c in (body, before) if c])
+            yield out.append_column("benchmark_hits", pa.array(rows, _HITS))
 
-    kind = (
-        "struct<n_words: bigint, n_hit: bigint, n_items: bigint, item_ids: array<string>,"
-        " spans: array<struct<first: bigint, end: bigint>>>"
-    )
-    return with_arrow(documents.withColumn(body, quoted(text).cast("binary")), run, [body], "benchmark_hits", kind)
+    return run
+
+
+def search(
+    documents: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, part_words: int = PART_WORDS
+) -> DataFrame:
+    """Add ``benchmark_hits`` to every document.
+
+    A struct of ``n_words``, ``n_hit`` (words inside any occurrence of a window), ``n_items``,
+    ``item_ids`` (sorted as strings), ``spans`` (start and end word of every hit run). One row per
+    input row; null and empty texts have no words. Items without words match nothing; an item id
+    that occurs with several texts is one item. A column named ``benchmark_hits`` is replaced.
+    Documents are not shuffled. Driver and tasks hold one part of ``part_words`` benchmark words at a
+    time, an item at least; a larger benchmark takes a pass over the documents for each part, whose
+    result is written before the next.
+    """
+    found = documents.drop("benchmark_hits")
+    body, before = own_name(documents, "body"), None
+    for part in benchmark_parts(benchmark, part_words=part_words):
+        if before:  # there is another part: settle the last one
+            found = stored(found, "benchmark-hits").withColumnRenamed("benchmark_hits", before)
+        sent = documents.sparkSession.sparkContext.broadcast(part)
+        helpers = [body, before] if before else [body]
+        found = with_arrow(
+            found.withColumn(body, quoted(text).cast("binary")), _searched(sent, body, before, window), helpers, "benchmark_hits", _KIND
+        )
+        before = before or own_name(documents, "before")
+    return found
 
 
 def digest(item_ids: list[str]) -> str:

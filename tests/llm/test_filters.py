@@ -244,3 +244,18 @@ def test_any_names_of_columns(spark):
 def test_shard_weights_are_positive():
     with pytest.raises(ValueError):
         sharding.lookup_table(["a", "b"], 7, {"a": 0})
+
+
+def test_benchmark_in_parts(spark):
+    """Every item in a part of its own gives what one part gives."""
+    words = [f"w{i}" for i in range(60)]
+    items = [(f"q{k}", " ".join(words[k * 7 : k * 7 + 14])) for k in range(6)] + [("e", ""), ("n", None), (None, "w1 w2")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    rows = [(1, " ".join(words)), (2, " ".join(words[5:25])), (3, "clean text"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("x.y", F.lit(1)).withColumn("before", F.lit(2))
+    whole = decontamination.search(docs, bench).orderBy("doc_id").collect()
+    assert len(list(decontamination.benchmark_parts(bench, part_words=1))) == 8
+    parts = decontamination.search(docs, bench, part_words=20).orderBy("doc_id").collect()
+    assert parts == whole and whole[0]["benchmark_hits"]["n_items"] == 6 and whole[2]["benchmark_hits"]["n_hit"] == 0
+    nothing = decontamination.search(docs, bench.where("false"))
+    assert nothing.count() == 5 and nothing.where("benchmark_hits.n_hit > 0").count() == 0
