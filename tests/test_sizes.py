@@ -59,3 +59,11 @@ def test_bronze_is_written_with_the_codec(spark, tmp_path):
     path = sinks.write_bronze(rows, str(tmp_path), "2024-01-01")
     names = [f for _, _, files in os.walk(path) for f in files if f.endswith(".parquet")]
     assert names and all(f".{sinks.CODEC}." in f for f in names)
+
+
+def test_patients_are_made_in_all_spread_tasks(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(retail, "TASK_ROWS", 50)  # 400 rows: 8 tasks
+    for kind, per_task in (("Patient", 100), ("Condition", 100), ("Observation", 100), ("Claim", 100)):
+        made = retail.resources(spark, sf_dir, (kind,)).groupBy(F.spark_partition_id()).count()
+        counts = [r["count"] for r in made.collect()]
+        assert sum(counts) == 400 and len(counts) == 8 and max(counts) <= per_task, kind
