@@ -132,7 +132,9 @@ def _window_rows(window):
             new = _first_of(key)
             least = doc[new][np.cumsum(new) - 1]
             covered = doc > least
-            yield _rows(np.zeros(int((~covered).sum()), bool), key[~covered], doc[~covered], at[~covered], at[~covered])
+            open_ = int((~covered).sum())
+            # a window to look up has no last start: what is the same in all rows shuffles for little
+            yield _rows(np.zeros(open_, bool), key[~covered], doc[~covered], at[~covered], np.zeros(open_, np.int64))
             yield _runs(doc[covered], at[covered])
 
     return run
@@ -242,10 +244,11 @@ def find_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text",
     )
     number, found, copied, body = (own_name(documents, n) for n in ("_doc", "_spans", "_copy", "_body"))
     joined = (
-        documents.withColumns({number: quoted(key).cast("long"), body: quoted(text).cast("binary")})
+        documents.withColumn(number, quoted(key).cast("long"))
         .join(copies.select(F.col("doc").alias(number), F.col("copy").alias(copied)), number, "left")
         .join(spans.select(F.col("doc").alias(number), F.col("_spans").alias(found)), number, "left")
         .drop(number)
+        .withColumn(body, quoted(text).cast("binary"))  # here, so that the joins move the text once
     )
     kind = (
         "struct<n_words: bigint, n_removed: bigint, kept_text: string,"

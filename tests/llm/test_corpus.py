@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,18 @@ def test_repeats_edges(spark, monkeypatch):
     assert substring_dedup.find_repeats(frame(spark, [])).count() == 0
 
 
+def test_repeats_move_little(spark):
+    found = substring_dedup.find_repeats(frame(spark, [(1, "a " * 20), (2, "a " * 20 + "b")]))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_body" in plan and "_body" not in plan[plan.index("Join"):]  # the joins move the text once
+    words = " ".join(str(n % 40) for n in range(100)).encode()
+    rows = pa.record_batch([pa.array([7]), pa.array([words])], names=["doc", "text"])
+    seeds = substring_dedup._windows([words.split()], substring_dedup.WordHashes(), 13)[1]
+    batch = rows.append_column("seeds", pa.array([seeds.tolist()], pa.list_(pa.int64())))
+    looked_up = [r for b in substring_dedup._window_rows(13)(iter([batch])) for r in b.to_pylist() if not r["settled"]]
+    assert {r["first"] for r in looked_up} == set(range(88)) and {r["last"] for r in looked_up} == {0}
+
+
 def shingles(text):
     w = (text or "").split()
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
