@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,8 +28,8 @@ class WordHashes(dict):
     def of(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all words of all texts, and the texts' bounds."""
         bounds = np.cumsum([0, *map(len, texts)])
-        get = self.__getitem__
-        return np.fromiter((get(w) for t in texts for w in t), np.uint64, int(bounds[-1])), bounds
+        found = map(self.__getitem__, chain.from_iterable(texts))
+        return np.fromiter(found, np.uint64, int(bounds[-1])), bounds
 
 
 def split(column: pa.Array) -> list[list[bytes]]:

@@ -67,7 +67,10 @@ def shingles(texts: list[list[bytes]], hashes: WordHashes, size: int = SHINGLE)
 
 def _bags(keys, owner):
     """Distinct (text, shingle) pairs with their counts, by text."""
-    order = np.lexsort((keys, owner))
+    order = np.argsort(keys)
+    # few texts: their numbers are sorted by radix
+    numbers = owner.astype(np.uint16) if not len(owner) or owner.max() < 1 << 16 else owner
+    order = order[np.argsort(numbers[order], kind="stable")]
     keys, owner = keys[order], owner[order]
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
@@ -90,6 +93,26 @@ class Counts:
         return np.where(self.keys[at] == keys, self.counts[at], 0)
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by shingle, null first: the sums over 1, and that of the null rows."""
+    names, documents = ["shingle", "n"], 0
+    last, total = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the shingle that may go on, and its sum
+    for batch in batches:
+        nulls, n = batch.column("shingle").null_count, batch.column("n").to_numpy()
+        documents += int(n[:nulls].sum())
+        keys, n = np.r_[last, batch.column("shingle").slice(nulls).to_numpy()], np.r_[total, n[nulls:]]
+        if not len(keys):
+            continue
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        keys, n = keys[first], np.add.reduceat(n, first)
+        last, total = keys[-1:], n[-1:]
+        several = n[:-1] > 1
+        yield pa.record_batch([pa.array(keys[:-1][several]), pa.array(n[:-1][several])], names=names)
+    yield pa.record_batch([pa.array(last[total > 1]), pa.array(total[total > 1])], names=names)
+    if documents:
+        yield pa.record_batch([pa.array([None], pa.int64()), pa.array([documents], pa.int64())], names=names)
+
+
 def frequencies(source: DataFrame) -> tuple[int, DataFrame]:
     """Number of documents with words, and ``shingle, n``: how many have it, for all that several have."""
 
@@ -102,8 +125,12 @@ def frequencies(source: DataFrame) -> tuple[int, DataFrame]:
             yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"])
         yield pa.record_batch([pa.array([None], pa.int64()), pa.array([documents], pa.int64())], names=["shingle", "n"])
 
-    counted = source.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    counted = stored(counted.where("n > 1 OR shingle IS NULL"), "frequencies")
+    # almost every row is of a shingle of its own: sums in front of the shuffle would merge nothing
+    counted = (
+        source.select("text").mapInArrow(run, "shingle long, n long")
+        .repartition("shingle").sortWithinPartitions("shingle").mapInArrow(_summed, "shingle long, n long")
+    )
+    counted = stored(counted, "frequencies")
     documents = counted.where("shingle IS NULL").agg(F.sum("n")).first()[0] or 0
     return documents, counted.where("shingle IS NOT NULL")
 
@@ -137,8 +164,8 @@ def _level(logs: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _race(logs: np.ndarray, at: np.ndarray) -> np.ndarray:
     """What is least for the shingle drawn, as integers of the same order in the upper 32 bits."""
-    r, log_gamma, beta = _variates()
-    a = (log_gamma[at] - r[at] * (_level(logs, at) - beta[at] + np.float32(1))).view(np.int32)
+    r, log_gamma, beta = (values.take(at, mode="clip") for values in _variates())
+    a = (log_gamma - r * (np.floor(logs / r + beta) - beta + np.float32(1))).view(np.int32)
     return np.where(a < 0, a ^ 0x7FFFFFFF, a).astype(np.int64) << 32
 
 
@@ -161,9 +188,12 @@ def draw(keys: np.ndarray, weights: np.ndarray, first: np.ndarray, times: int) -
     other_logs, place = logs[other], np.arange(len(keys))
     odd = np.random.default_rng(20_240_301).integers(0, 1 << 63, times, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     out = np.empty((times, len(first)), np.uint64)
+    spread, race = np.empty(len(keys), np.uint64), np.empty(len(keys), np.int64)
+    dealt = spread.view(np.int64)
     for k in range(times):
-        dealt = ((keys * odd[k]) >> np.uint64(64 - _TABLE_BITS)).view(np.int64)
-        race = table[dealt]
+        np.multiply(keys, odd[k], out=spread)
+        np.right_shift(spread, np.uint64(64 - _TABLE_BITS), out=spread)
+        table.take(dealt, out=race, mode="clip")  # no place is out of range
         race[other] = _race(other_logs, dealt[other])
         race += place
         at = np.minimum.reduceat(race, first) & 0xFFFFFFFF

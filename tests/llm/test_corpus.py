@@ -154,6 +154,17 @@ def test_document_frequencies_are_exact(spark):
             assert np.allclose(np.sort(weights), np.sort(exact))
 
 
+def test_sorted_shingles_are_summed_across_batches():
+    def batch(keys, n):
+        return pa.record_batch([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], names=["shingle", "n"])
+
+    rows = [batch([None, None, 3], [4, 5, 1]), batch([3], [1]), batch([], []), batch([3, 5, 6], [1, 1, 2]), batch([6, 9], [1, 1])]
+    found = [(r["shingle"], r["n"]) for b in near_dedup._summed(iter(rows)) for r in b.to_pylist()]
+    assert sorted(found, key=str) == [(3, 3), (6, 3), (None, 9)]
+    assert [b.num_rows for b in near_dedup._summed(iter([]))] == [0]
+    assert [r for b in near_dedup._summed(iter([batch([8, 9], [1, 2])])) for r in b.to_pylist()] == [{"shingle": 9, "n": 2}]
+
+
 def test_near_duplicates_with_joined_frequencies(spark, monkeypatch):
     documents = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
     sent = sorted(tuple(r) for r in near_dedup.classes(documents).collect())
