@@ -52,3 +52,15 @@ def test_details_stop_at_ten(resources_of):
     many = [S.observation(f"o{i:02d}", "p", status="DONE") for i in range(15)]
     rows = Q.rule_details(resources_of(*many)).collect()
     assert len(rows) == 10 and max(r.line for r in rows) == 10
+
+
+def test_details_take_one_pass_and_keep_repeated_lines(spark, resources_of, tmp_path):
+    same = S.observation("o1", "p", status="DONE")
+    other = S.observation("o2", "p", status="DONE")
+    resources_of(same, other, same).write.parquet(str(tmp_path / "found"))
+    details = Q.rule_details(spark.read.parquet(str(tmp_path / "found")))
+    found = {(r.rule_name, r.line, r.detail) for r in details.collect()}
+    lines = [d for rule, _, d in sorted(found) if rule == "obs_status_codes"]
+    assert lines == ["id=o1: invalid status='DONE'"] * 2 + ["id=o2: invalid status='DONE'"]
+    assert ("resource_id_uniqueness", 1, "id=o1 appears 2 times") in found
+    assert details._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
