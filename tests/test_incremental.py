@@ -109,6 +109,29 @@ def test_unchanged_buckets_keep_their_files(spark, lake):
     assert all(f"bucket={b}" in "".join(names) for b in after.parts["bronze"])
 
 
+def test_added_rows_are_written_once(spark, lake):
+    """The rows a run brings are not stored beside a second copy of them."""
+    state = store.latest(spark, lake["root"])
+    for table in ("bronze", "silver_encounter"):
+        at = f"{lake['root']}/current/{table}/run_id=r1"
+        stored = spark.read.parquet(at).filter("kind <> 'removed'").count()
+        assert stored == spark.read.parquet(f"{at}/kind=added").count() > 0
+    assert set(state.kinds["bronze"]) == set(state.parts["bronze"])
+
+
+def test_buckets_of_older_commits_are_read_whole(spark, tmp_path):
+    """An older commit says nothing of kinds: the rows under ``current`` are all, added ones included."""
+    root, kinds = str(tmp_path), [("a", "current"), ("b", "current"), ("b", "added")]
+    old = spark.createDataFrame(kinds, "x string, kind string").withColumn("bucket", F.lit(0))
+    old.write.partitionBy("kind", "bucket").parquet(f"{root}/current/t/run_id=r1")
+    state = store.State(parts={"t": {0: "r1"}})
+    assert rows(store.read(spark, root, state, "t", "x string")) == ["Row(x='a')", "Row(x='b')"]
+    fresh = spark.createDataFrame([("c", "added", 0)], "x string, kind string, bucket int")
+    store.write(fresh, root, state, "t", "r2", {0})
+    store.commit(spark, root, state, "r2", spark.createDataFrame([], "source_key string, source_file string"))
+    assert rows(store.read(spark, root, store.latest(spark, root), "t", "x string")) == ["Row(x='c')"]
+
+
 def test_current_rows_are_read_without_a_shuffle(spark, lake):
     for table in ("bronze", "silver_encounter", "gold_patient_condition_profile"):
         plan = read_current(spark, lake["root"], table)._jdf.queryExecution().executedPlan().toString()
