@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bundlelake.llm.common import own_name, quoted, quoted_name, slices, stored
-from bundlelake.llm.grams import WordHashes, rolling, split, starts
+from bundlelake.llm.grams import WordHashes, rolling, starts
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at the threshold shares no band of draws with probability (1 - 0.8**6)**23 = 0.0009; one
@@ -55,12 +55,21 @@ _NAME = "substring(unhex(sha2(CAST({} AS BINARY), 256)), 1, 16)"
 
 def shingles(texts: list[list[bytes]], hashes: WordHashes, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles and their texts' numbers; a shorter text with words is one shingle."""
-    values, bounds = hashes.of(texts)
+    return _shingled(*hashes.of(texts), texts.__getitem__, size)
+
+
+def column_shingles(column: pa.Array, hashes: WordHashes, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`shingles`, for a column of binary texts."""
+    return _shingled(*hashes.of_column(column), lambda k: column[k].as_py().split(), size)
+
+
+def _shingled(values, bounds, words_of, size):
     at, owner = starts(bounds, size)
     keys = rolling(values, size)[at] if len(at) else np.zeros(0, np.uint64)
-    short = [k for k, t in enumerate(texts) if 0 < len(t) < size]
+    lengths = np.diff(bounds)
+    short = np.flatnonzero((lengths > 0) & (lengths < size)).tolist()
     if short:
-        more = [xxhash.xxh3_64_intdigest(b" ".join(texts[k])) for k in short]
+        more = [xxhash.xxh3_64_intdigest(b" ".join(words_of(k))) for k in short]
         keys, owner = np.r_[keys, np.array(more, np.uint64)], np.r_[owner, short]
     return keys, owner
 
@@ -119,7 +128,7 @@ def frequencies(source: DataFrame) -> tuple[int, DataFrame]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, documents = WordHashes(CACHE_WORDS), 0
         for batch in slices(batches, "text", SLICE_BYTES):
-            keys, owner, _ = _bags(*shingles(split(batch.column("text")), hashes))
+            keys, owner, _ = _bags(*column_shingles(batch.column("text"), hashes))
             documents += len(np.unique(owner))
             keys, n = np.unique(keys, return_counts=True)
             yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"])
@@ -212,23 +221,21 @@ def _signatures(common, documents, bands, draws):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, known = WordHashes(CACHE_WORDS), _known(common)
         for batch in slices(batches, "text", SLICE_BYTES):
-            texts = split(batch.column("text"))
-            real = [k for k, t in enumerate(texts) if t]
-            if not real:
+            keys, owner, counts = _bags(*column_shingles(batch.column("text"), hashes))
+            if not len(keys):
                 continue
-            texts = [texts[k] for k in real]
-            keys, owner, counts = _bags(*shingles(texts, hashes))
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            real = owner[first]  # texts with words
             weights = _weights(counts, known.of(keys), documents)
             drawn = draw(keys, weights, first, bands * draws)
-            names = np.empty((len(texts), bands), np.uint64)
+            names = np.empty((len(real), bands), np.uint64)
             for b in range(bands):
-                name = np.full(len(texts), b + 1, np.uint64)
+                name = np.full(len(real), b + 1, np.uint64)
                 for d in range(draws):
                     name = (name ^ drawn[b * draws + d]) * np.uint64(0x9E3779B97F4A7C15)
                     name ^= name >> np.uint64(29)
                 names[:, b] = name
-            offsets = np.arange(0, len(texts) * bands + 1, bands)
+            offsets = np.arange(0, len(real) * bands + 1, bands)
             yield pa.record_batch(
                 [
                     *(batch.column(c).take(pa.array(real)) for c in ("row", "doc", "name")),
@@ -247,7 +254,7 @@ def _uncommon(common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, known = WordHashes(CACHE_WORDS), _known(common)
         for batch in slices(batches, "text", SLICE_BYTES):
-            keys, owner, _ = _bags(*shingles(split(batch.column("text")), hashes))
+            keys, owner, _ = _bags(*column_shingles(batch.column("text"), hashes))
             open_ = known.of(keys) == 0
             docs = batch.column("doc").take(pa.array(owner[open_], pa.int64()))
             yield pa.record_batch([docs, pa.array(keys[open_].view(np.int64))], names=["doc", "shingle"])
@@ -262,7 +269,7 @@ def _features(common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, known, low = WordHashes(CACHE_WORDS), _known(common), np.uint64(0xFFFFFFFF)
         for batch in slices(batches, "text", SLICE_BYTES):
-            keys, owner, counts = _bags(*shingles(split(batch.column("text")), hashes))
+            keys, owner, counts = _bags(*column_shingles(batch.column("text"), hashes))
             listed = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("shingles", "ns")]
             rest = Counts(listed[0].astype(np.int64).view(np.uint64), listed[1].astype(np.int64))
             found = np.maximum(np.maximum(known.of(keys), rest.of(keys)), 1)

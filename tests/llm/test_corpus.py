@@ -522,3 +522,40 @@ def test_near_duplicates_of_long_texts(spark):
         other[at] = "changed"
     rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[:30_000])), (4, " ".join(words).replace(" ", "  "))]
     assert {r[0]: r[1] for r in near_dedup.classes(frame(spark, rows)).collect()} == {1: 1, 2: 1, 3: 3, 4: 1}
+
+
+ODD_TEXTS = [b"", None, b"  ", b" a b\t\x0bc\x0cd\re\n", b"x", bytes(range(1, 128)), " a b\x1c c\x85d é".encode(),
+             b"a  b   c d e f a b c d e f", b"\xff no utf-8 \xfe"]
+
+
+def test_words_told_apart_by_arrow_are_those_of_split():
+    """Every different word is looked up once; empty ends, nulls and slices change nothing."""
+    from bundlelake.llm import grams
+
+    class Counted(grams.WordHashes):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+    whole = pa.array(ODD_TEXTS, pa.binary())
+    for column in (whole, whole.slice(1, 7), pa.array([b"", None], pa.binary()), whole.slice(0, 0)):
+        texts = grams.split(column)
+        numbers, bounds, words = grams.numbered(column)
+        assert [[words[k] for k in numbers[a:z]] for a, z in zip(bounds[:-1], bounds[1:], strict=True)] == texts
+        hashes = Counted()
+        found = near_dedup.column_shingles(column, hashes)
+        assert hashes.asked == len({w for t in texts for w in t})
+        for a, b in zip(found, near_dedup.shingles(texts, grams.WordHashes()), strict=True):
+            assert a.tolist() == b.tolist()
+
+
+def test_ids_of_a_column_are_those_of_its_words():
+    import public_tokenizers
+
+    words = token_files.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [t or b"" for t in ODD_TEXTS[:-1]]
+    found = words.of_column(pa.array(texts, pa.binary()), 1)
+    assert [f.tolist() for f in found] == [[*np.frombuffer(words.of(t.split()), np.uint32).tolist(), 1] for t in texts]
+    assert words.of_column(pa.array([], pa.binary()), 1) == []
