@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bundlelake.llm.common import slices, stored
+from bundlelake.llm.grams import numbered
 
 MAGIC = b"BPS1"
 BLOCK_IDS, LEVEL = 1 << 16, 3
@@ -284,6 +285,18 @@ class WordIds(dict):
     def of(self, words: list[bytes]) -> bytes:
         return b"".join(map(self.__getitem__, words))
 
+    def of_column(self, column: pa.Array, end_id: int) -> list[np.ndarray]:
+        """Ids of binary texts, ``end_id`` after each; every different word is looked up once."""
+        numbers, bounds, words = numbered(column)
+        self.learn(set(words))
+        known = [*map(self.__getitem__, words), struct.pack("<I", end_id)]
+        ids, sizes = np.frombuffer(b"".join(known), np.uint32), np.fromiter(map(len, known), np.int64, len(known)) // 4
+        numbers = np.insert(numbers, bounds[1:], len(words))
+        lengths = sizes[numbers]
+        ends = np.cumsum(lengths)
+        at = np.arange(lengths.sum()) + np.repeat((np.cumsum(sizes) - sizes)[numbers] - (ends - lengths), lengths)
+        return np.split(ids[at], ends[bounds[1:] + np.arange(len(column))])[: len(column)]
+
 
 @functools.lru_cache(maxsize=1)
 def _word_ids(path: str) -> WordIds:
@@ -323,14 +336,12 @@ def write(
         system, top = _place(folder)
         system.create_dir(top, recursive=True)
         final, draft = f"{top}/part-{part:06d}.bps", f"{top}/_draft-{part:06d}-{uuid.uuid4().hex}"
-        docs, total, end = 0, 0, struct.pack("<I", end_id)
+        docs, total = 0, 0
         with system.open_output_stream(draft) as out:
             writer = Writer(out, bits)
             for batch in slices(batches, "text"):
-                texts = [t.split() for t in batch.column("text").to_pylist()]  # at ASCII white space
-                words.learn(set().union(*texts))
-                for doc, pieces in zip(batch.column("doc").to_pylist(), texts, strict=True):
-                    ids = np.frombuffer(words.of(pieces) + end, np.uint32)
+                texts = words.of_column(batch.column("text"), end_id)
+                for doc, ids in zip(batch.column("doc").to_pylist(), texts, strict=True):
                     writer.add(doc, ids)
                     docs, total = docs + 1, total + len(ids)
             writer.close()
