@@ -6,9 +6,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from bundlelake.operators import incremental as I
+from bundlelake.operators.bronze import to_bronze
 from bundlelake.sinks import tables as sinks
 from bundlelake.sources import bundles as B
 from bundlelake.sources import retail
+from bundlelake.sources.tables import read_bronze
 
 DAY = datetime.datetime(2024, 1, 5)
 
@@ -67,3 +70,28 @@ def test_patients_are_made_in_all_spread_tasks(spark, sf_dir, monkeypatch):
         made = retail.resources(spark, sf_dir, (kind,)).groupBy(F.spark_partition_id()).count()
         counts = [r["count"] for r in made.collect()]
         assert sum(counts) == 400 and len(counts) == 8 and max(counts) <= per_task, kind
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_difference_shuffles_digests_and_finds_other_texts(spark):
+    columns = "resource_type string, resource_id string, version_id string, raw_json string"
+    left = spark.createDataFrame(
+        [("A", "1", "1", "x"), ("A", "1", "1", "x"), ("A", "2", "1", None), ("B", None, "1", "y"), ("B", "3", "1", "z")], columns
+    )
+    right = spark.createDataFrame([("A", "1", "1", "x"), ("A", "2", "1", None), ("B", None, "1", "Y"), ("B", "3", "1", "z")], columns)
+    found = I.difference(left, right)
+    assert {tuple(r) for r in found.collect()} == {("A", 3, 2, 1), ("B", 2, 2, 2)}
+    shuffles = [line for line in plan(found).splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffles and not any("raw_json" in line for line in shuffles)
+
+
+def test_stored_bronze_without_copies_is_read_without_sorting_texts(spark, resources_of, tmp_path):
+    made = [{"resourceType": "Patient", "id": str(k)} for k in range(20)] + [{"resourceType": "Claim"}]
+    for run in ("a", "b"):
+        sinks.write_bronze(to_bronze(resources_of(*made), run), str(tmp_path), "2024-01-01")
+        rows = read_bronze(spark, str(tmp_path))
+        assert rows.count() == 21
+        assert ("Window" in plan(rows)) == (run == "b")
