@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from bundlelake import session
 from bundlelake.operators import incremental as I
 from bundlelake.operators.bronze import to_bronze
 from bundlelake.sinks import tables as sinks
@@ -76,6 +77,13 @@ def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
+def test_shuffles_start_from_parts_enough_whatever_their_setting(spark):
+    counts = spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert f", {session.SHUFFLE_PARTS}), " in plan(counts)
+    assert counts.count() == 100 and counts.agg(F.sum("count")).first()[0] == 1000
+
+
 def test_difference_shuffles_digests_and_finds_other_texts(spark):
     columns = "resource_type string, resource_id string, version_id string, raw_json string"
     left = spark.createDataFrame(
