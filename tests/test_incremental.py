@@ -119,6 +119,37 @@ def test_added_rows_are_written_once(spark, lake):
     assert set(state.kinds["bronze"]) == set(state.parts["bronze"])
 
 
+def test_a_large_bucket_is_dealt_out_to_several_tasks(spark, tmp_path, monkeypatch):
+    """Neither merging nor writing a bucket waits for one task that holds all of it; the rows are the same."""
+    landing = tmp_path / "in"
+    landing.mkdir()
+    visits = [visit(f"v{k}", f"p-{k % 7}", k % 24) for k in range(200)] + [visit("", "p-1", 3), visit("v5", "p-1", 5)]
+    put(str(landing), "one.json", S.bundle("b-1", visits), 1000)
+    found = {}
+    for rows_each in (10, 1_000_000):
+        monkeypatch.setattr(store, "PART_ROWS", rows_each)
+        root = str(tmp_path / f"lake-{rows_each}")
+        run_load(spark, str(landing), root, "r1", DAYS[0], buckets=1, checks=False)
+        files = len(read_current(spark, root, "bronze").inputFiles())
+        tables = ("bronze", "silver_encounter", *[f"gold_{n}" for n in GOLD])
+        found[rows_each] = files, {t: rows(read_current(spark, root, t)) for t in tables}
+    assert found[10][1] == found[1_000_000][1] and len(found[10][1]["bronze"]) == 201
+    monkeypatch.setattr(store, "PART_ROWS", 10)
+    parts = spark.range(200).select(store.part_of(200, 1, "id").alias("part")).groupBy("part").count().collect()
+    assert len(parts) == 20 and max(r["count"] for r in parts) < 30
+
+
+def test_a_change_without_removals_reads_no_source(spark):
+    layout, ddl = G.BILLS, "patient_id string, claim_id string, claim_type string, total_amount double, created_date string"
+    come = [(f"p{k % 3}", f"c{k}", "professional", 1.0 * k, "2024-01-01") for k in range(9)]
+    added, none = spark.createDataFrame(come, ddl), spark.createDataFrame([], ddl)
+    old = states.fresh(layout, spark.createDataFrame(come[:4], ddl))
+    trap = added.withColumn("claim_id", F.raise_error(F.lit("read")).cast("string"))
+    state = states.updated(layout, old, states.delta(layout, added, none), trap, removals=False)
+    again = states.updated(layout, old, states.delta(layout, added, none), added)
+    assert rows(state.select(*layout.columns())) == rows(again.select(*layout.columns()))
+
+
 def test_buckets_of_older_commits_are_read_whole(spark, tmp_path):
     """An older commit says nothing of kinds: the rows under ``current`` are all, added ones included."""
     root, kinds = str(tmp_path), [("a", "current"), ("b", "current"), ("b", "added")]

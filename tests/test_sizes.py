@@ -84,6 +84,18 @@ def test_shuffles_start_from_parts_enough_whatever_their_setting(spark):
     assert counts.count() == 100 and counts.agg(F.sum("count")).first()[0] == 1000
 
 
+def test_tasks_read_small_splits_and_write_folders_side_by_side(spark, tmp_path):
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for given, wanted in (("128m", session.SPLIT_BYTES), ("134217728b", session.SPLIT_BYTES), ("1048576", 1 << 20), ("2MB", 2 << 20)):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", given)
+        assert session._bytes(session.configure(spark), "spark.sql.files.maxPartitionBytes") == wanted
+    spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    folders = 2 * session.OPEN_FOLDERS
+    many = spark.range(1000).withColumn("k", F.col("id") % folders)
+    many.write.partitionBy("k").parquet(str(tmp_path / "many"))  # more folders than are open at a time
+    assert spark.read.parquet(str(tmp_path / "many")).groupBy("k").count().count() == folders
+
+
 def test_difference_shuffles_digests_and_finds_other_texts(spark):
     columns = "resource_type string, resource_id string, version_id string, raw_json string"
     left = spark.createDataFrame(
