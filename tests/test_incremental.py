@@ -246,3 +246,22 @@ def test_a_stream_keeps_rejects_and_passes_over_repeats(spark, tmp_path):
     lines = streamed_documents(spark, root, "s").collect()
     assert sorted(os.path.basename(r.source_file) for r in lines) == ["cut.json", "one.json", "two.json"]
     assert [r.reason for r in lines if r.reason] == [B.MALFORMED]
+
+
+def test_a_stream_takes_files_in_small_batches_and_keeps_digests_on_disk(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    for k, name in enumerate(("p-100", "p-200", "p-100")):  # the third text came before, in an earlier batch
+        put(str(landing), f"{k}.json", S.bundle(f"b-{name}", S.record(name)), 1_000_000 + 100 * k)
+    found = {}
+    for size in (1, 1 << 20):
+        root = str(tmp_path / f"lake-{size}")
+        stream_deliveries(spark, str(landing), root, "s", DAYS[0], DAYS[0][:10], batch_bytes=size)
+        lines = streamed_documents(spark, root, "s").select("source_file", "run_id").collect()
+        kept = rows(sources.read_bronze(spark, root, dedup=False).select("resource_id", "raw_json"))
+        found[size] = sorted(os.path.basename(r.source_file) for r in lines), kept
+        assert len({r.run_id for r in lines}) == (2 if size == 1 else 1)
+        stored = [f for _, _, files in os.walk(f"{root}/_checkpoints/deliveries/state/0/0") for f in files]
+        assert any(f.endswith((".zip", ".changelog")) for f in stored) and not any(f.endswith(".delta") for f in stored)
+    assert len(found[1][0]) == len(found[1 << 20][0]) == 2 and found[1][0] == ["0.json", "1.json"]
+    assert found[1][1] == found[1 << 20][1]
